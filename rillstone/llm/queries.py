@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rillstone.llm.chunk_store import read_store, write_store
+from rillstone.llm.common import materialize, new_folder
+from rillstone.llm.packing import cut_documents, pack
 from rillstone.llm.token_counts import token_counts
 
 
@@ -17,5 +21,19 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
-QUERIES = {"op2_token_counts": op2_token_counts}
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents packed into sequences of at most 1024 ids."""
+    pieces = cut_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
+    pieces = materialize(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")), "pieces")
+    return pack(pieces, ["doc_id", "piece"], capacity=1024)
+
+
+def op8_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents written to a content-addressed store of ids and read back."""
+    store = new_folder(spark, "chunk-store")
+    write_store(_table(spark, sf_dir, "documents"), store, public_tokenizers.path("byte_bpe_50k.json"), end_id=0)
+    return read_store(spark, store)
+
+
+QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op8_chunk_store": op8_chunk_store}
 ORACLE_SQL: dict[str, str] = {}
