@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rillstone.llm.chunk_store import read_store, write_store
 from rillstone.llm.common import materialize, new_folder
+from rillstone.llm.decontaminate import hit_words, with_hits
 from rillstone.llm.packing import cut_documents, pack
 from rillstone.llm.token_counts import token_counts
 
@@ -35,5 +36,13 @@ def op8_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_store(spark, store)
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op8_chunk_store": op8_chunk_store}
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that stand in a benchmark window of ten words."""
+    docs = with_hits(_table(spark, sf_dir, "documents").select("doc_id", "text"), _table(spark, sf_dir, "benchmark"))
+    items = F.array_join(F.array_sort(F.transform("hits.items", lambda i: i.cast("string"))), ",")
+    hit = hit_words(F.col("hits"))
+    return docs.select("doc_id", F.col("hits.n_words").alias("n_words"), hit.alias("n_hit"), F.size("hits.items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op8_chunk_store": op8_chunk_store, "op10_decontamination": op10_decontamination}
 ORACLE_SQL: dict[str, str] = {}
