@@ -10,6 +10,7 @@ from rillstone.llm.chunk_store import read_store, write_store
 from rillstone.llm.common import materialize, new_folder
 from rillstone.llm.decontaminate import hit_words, with_hits
 from rillstone.llm.packing import cut_documents, pack
+from rillstone.llm.quality import held_out, scorer, train
 from rillstone.llm.token_counts import token_counts
 
 
@@ -44,5 +45,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", F.col("hits.n_words").alias("n_words"), hit.alias("n_hit"), F.size("hits.items").cast("long").alias("n_items"), F.sha2(items, 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op8_chunk_store": op8_chunk_store, "op10_decontamination": op10_decontamination}
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document from a field trained on the labels that are not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    score = scorer(train(docs, _table(spark, sf_dir, "labels")))
+    return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
 ORACLE_SQL: dict[str, str] = {}
