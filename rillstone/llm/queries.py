@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rillstone.llm.chunk_store import read_store, write_store
 from rillstone.llm.common import materialize, new_folder
 from rillstone.llm.decontaminate import hit_words, with_hits
+from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import cut_documents, pack
 from rillstone.llm.quality import held_out, scorer, train
 from rillstone.llm.token_counts import token_counts
@@ -30,6 +31,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces, ["doc_id", "piece"], capacity=1024)
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents by two-word shingles at 0.8."""
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
 def op8_chunk_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents written to a content-addressed store of ids and read back."""
     store = new_folder(spark, "chunk-store")
@@ -52,5 +58,5 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
 ORACLE_SQL: dict[str, str] = {}
