@@ -13,6 +13,7 @@ from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import cut_documents, pack
 from rillstone.llm.quality import held_out, scorer, train
 from rillstone.llm.token_counts import token_counts
+from rillstone.llm.warc import read_archive, write_archive
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,13 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(pieces, ["doc_id", "piece"], capacity=1024)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records to seekable bundles and read back."""
+    path = new_folder(spark, "warc")
+    write_archive(_table(spark, sf_dir, "pages"), path)
+    return read_archive(spark, path, with_payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate components of all documents by two-word shingles at 0.8."""
     return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
@@ -58,5 +66,16 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op6_warc": op6_warc, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+
+#: DuckDB SQL of the queries that SQL can express.
+ORACLE_SQL: dict[str, str] = {
+    "op6_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+        d AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
+        f AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 100 AND page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 100 AND page_id > first THEN first END AS refers_to
+        FROM f""",
+}
