@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from rillstone.llm.chunk_store import read_store, write_store
 from rillstone.llm.common import materialize, new_folder
 from rillstone.llm.decontaminate import hit_words, with_hits
+from rillstone.llm.knn_join import top_k
 from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import cut_documents, pack
 from rillstone.llm.quality import held_out, scorer, train
@@ -25,6 +26,11 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best of all vectors for every vector whose id is divisible by 100."""
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 1024 ids."""
     pieces = cut_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), capacity=1024, end_id=2)
@@ -66,10 +72,17 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op5_best_fit_packing": op5_best_fit_packing, "op6_warc": op6_warc, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+QUERIES = {"op2_token_counts": op2_token_counts, "op4_exact_top_k": op4_exact_top_k, "op5_best_fit_packing": op5_best_fit_packing, "op6_warc": op6_warc, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op4_exact_top_k": """
+        WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        s AS (SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
+              FROM v AS q JOIN v AS d ON q.vec_id % 100 = 0 AND d.vec_id <> q.vec_id),
+        r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10""",
     "op6_warc": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
         d AS (SELECT page_id, strlen(body) AS payload_bytes, sha256(body) AS payload_digest FROM p),
