@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 from rillstone.llm.chunk_store import read_store, write_store
 from rillstone.llm.common import materialize, new_folder
 from rillstone.llm.decontaminate import hit_words, with_hits
+from rillstone.llm import license_scan as ls
 from rillstone.llm.knn_join import top_k
+from rillstone.llm.license_texts import TEXTS, notices
 from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import cut_documents, pack
 from rillstone.llm.quality import held_out, scorer, train
+from rillstone.llm.sharding import lookup_table, place
 from rillstone.llm.token_counts import token_counts
 from rillstone.llm.warc import read_archive, write_archive
 
@@ -20,12 +23,24 @@ from rillstone.llm.warc import read_archive, write_archive
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+SHARDS = [f"shard-{i:02d}" for i in range(64)]
+
+
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence of every document's whole text and the notices among its lines."""
+    return ls.license_scan(_table(spark, sf_dir, "documents"))
+
 
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of every document."""
     return token_counts(_table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's slot and shard among SHARDS."""
+    return place(_table(spark, sf_dir, "documents").select("doc_id"), lookup_table(SHARDS), "doc_id")
+
+
 def op4_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten best of all vectors for every vector whose id is divisible by 100."""
     return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10, scale=1024)
@@ -72,10 +87,46 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {"op2_token_counts": op2_token_counts, "op4_exact_top_k": op4_exact_top_k, "op5_best_fit_packing": op5_best_fit_packing, "op6_warc": op6_warc, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+QUERIES = {"op1_license_scan": op1_license_scan, "op2_token_counts": op2_token_counts, "op3_sharding": op3_sharding, "op4_exact_top_k": op4_exact_top_k, "op5_best_fit_packing": op5_best_fit_packing, "op6_warc": op6_warc, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _license_sql() -> str:
+    """Canonical form, digests and both lookups once more, in DuckDB's functions."""
+    spelt = "line"
+    for a, b in ls.SPELLINGS:
+        spelt = f"replace({spelt}, {_quoted(a)}, {_quoted(b)})"
+    form = f"CASE WHEN regexp_matches(line, {_quoted(ls.COPYRIGHT)}) THEN '' ELSE trim(regexp_replace({spelt}, '[^a-z0-9]+', ' ', 'g')) END"
+    lines = f"[c FOR c IN [{form} FOR line IN string_split(lower(replace(coalesce(text, ''), 'İ', 'i')), chr(10))] IF c <> '']"
+
+    def known(rows: list[tuple[str, str]]) -> str:
+        values = ", ".join(f"({_quoted(i)}, {_quoted(t)})" for i, t in rows)
+        return f"SELECT min(id) AS id, sha256(array_to_string({lines}, ' ')) AS digest FROM (VALUES {values}) AS v(id, text) GROUP BY 2"
+
+    return f"""
+        WITH texts AS MATERIALIZED ({known(TEXTS)}), notes AS MATERIALIZED ({known(notices())}),
+        d AS MATERIALIZED (SELECT doc_id, {lines} AS lines FROM documents),
+        found AS (SELECT doc_id, count(*) AS n, array_to_string(list_sort(list(DISTINCT notes.id)), ',') AS names
+                  FROM (SELECT doc_id, unnest(lines) AS line FROM d) AS l JOIN notes ON notes.digest = sha256(l.line) GROUP BY doc_id)
+        SELECT d.doc_id, sha256(array_to_string(lines, ' ')) AS digest, texts.id AS license_id,
+               CAST(coalesce(n, 0) AS BIGINT) AS n_notices, coalesce(names, '') AS notice_licenses
+        FROM d LEFT JOIN texts ON texts.digest = sha256(array_to_string(lines, ' ')) LEFT JOIN found ON found.doc_id = d.doc_id"""
+
+
+def _sharding_sql() -> str:
+    table = lookup_table(SHARDS)
+    return f"""
+        WITH d AS (SELECT doc_id, CAST(('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 15))::BIGINT % {len(table)} AS INTEGER) AS slot FROM documents)
+        SELECT doc_id, slot, CAST({table}[slot + 1] AS INTEGER) AS shard FROM d"""
+
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op1_license_scan": _license_sql(),
+    "op3_sharding": _sharding_sql(),
     "op4_exact_top_k": """
         WITH v AS (SELECT vec_id, [floor(1024 * x::DOUBLE) FOR x IN embedding] AS e FROM embeddings
                    WHERE embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
