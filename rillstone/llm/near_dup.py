@@ -106,9 +106,11 @@ def _sketch(size: int):
 
 
 def _full_set(size: int):
-    @F.arrow_udf("binary")
+    @F.arrow_udf("array<long>")
     def full(texts: pa.Array) -> pa.Array:
-        return pa.array([s.tobytes() for data, offsets in slices(texts) for s in shingles(words(data, offsets, SPACED), size)], pa.binary())
+        sets = [s for data, offsets in slices(texts) for s in shingles(words(data, offsets, SPACED), size)]
+        ends = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64) if sets else [], pa.int64()))
 
     return full
 
@@ -156,28 +158,11 @@ class _Finder:
         if n <= BROADCAST_IDS:
             ids = F.broadcast(ids)
         sets = materialize(self.docs.join(ids, "doc_id", "left_semi").select("doc_id", _full_set(self.size)("text").alias("s")), "sets")
-        percent = self.percent
-
-        def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = []
-                for k in range(batch.num_rows):
-                    x, y = (np.frombuffer(batch.column(c)[k].as_buffer(), np.uint64) for c in ("sa", "sb"))
-                    if len(x) > len(y):
-                        x, y = y, x
-                    if 100 * len(x) < percent * len(y) or not len(x):
-                        continue
-                    at = np.searchsorted(y, x)
-                    at[at == len(y)] = 0
-                    both = int((y[at] == x).sum())
-                    if 100 * both >= percent * (len(x) + len(y) - both):
-                        keep.append(k)
-                keep = pa.array(keep, pa.int64())
-                yield pa.RecordBatch.from_arrays([batch.column("a").take(keep), batch.column("b").take(keep)], names=["a", "b"])
-
         left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
-        found = likely.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(verify, f"a {self.kind}, b {self.kind}")
+        x, y, both = F.size("sa"), F.size("sb"), F.size(F.array_intersect("sa", "sb"))
+        paired = likely.join(right, "b").join(left, "a").where(100 * F.least(x, y) >= self.percent * F.greatest(x, y))
+        found = paired.where(100 * both >= self.percent * (x + y - both)).select("a", "b")
         return materialize(found.distinct(), "links")
 
     def rest(self, members: DataFrame, parts: DataFrame) -> DataFrame:
@@ -234,3 +219,21 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     their union. Ids are integers.
     """
     return _Finder(docs, id_col, text_col, shingle_words, percent).run()
+
+
+def without_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with the smallest document of each component only; all columns as they were.
+
+    Rows of a null id and texts without words stay. Rows of equal id stay or go together; of equal id and text one stays.
+    """
+    found = materialize(near_duplicates(docs, id_col, text_col, shingle_words, percent), "components")
+    known = found.where("doc_id is not null")
+    gone = known.where("not kept").select(F.col("doc_id").alias(id_col)).distinct()
+    if gone.count() <= BROADCAST_IDS:
+        gone = F.broadcast(gone)
+    left = docs.join(gone, id_col, "left_anti").select(*docs.columns)
+    repeated = known.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias(id_col))
+    if repeated.isEmpty():
+        return left
+    single = left.join(repeated, id_col, "left_anti").select(*docs.columns)
+    return single.unionByName(left.join(repeated, id_col, "left_semi").dropDuplicates([id_col, text_col]))

@@ -111,7 +111,7 @@ def shingles(found: Words, size: int) -> list[np.ndarray]:
     h = found.hash
     joined = np.full(max(0, len(h) - size + 1), size, np.uint64)
     for k in range(size):
-        joined = mix(joined * np.uint64(0xA0761D6478BD642F) + h[k : len(h) - size + 1 + k])
+        joined = mix(joined * np.uint64(0xA0761D6478BD642F) + h[k : k + len(joined)])
     out = []
     for a, b in zip(found.first[:-1].tolist(), found.first[1:].tolist(), strict=True):
         if b - a >= size:
