@@ -4,9 +4,10 @@
    here on its smallest document stands for it.
 2. Documents that agree on all hashes of a band share a bucket. In each bucket all are compared with its smallest
    document only: that is linear in the bucket and joins most of what belongs together.
-3. What still lies in different components of a bucket is compared pair by pair: small buckets emit these pairs, large
-   ones are compared block by block inside tasks. Pairs inside a component need no comparison, since the result is the
-   component and no link is lost by leaving them out.
+3. What still lies in different components of a bucket is compared pair by pair: small buckets emit these pairs. Large
+   ones that share documents are put together where that means fewer pairs, and are compared and verified block by block
+   inside tasks, which emit links only. Pairs inside a component need no comparison, since the result is the component
+   and no link is lost by leaving them out.
 
 A comparison looks at the signatures one batch after another and gives a pair up once the posterior probability of a
 similarity of at least the threshold falls below ``MISS``. Survivors are verified on their full sets.
@@ -36,9 +37,9 @@ from rillstone.llm.words import SPACED, shingles, slices, words
 
 BANDS, ROWS = 40, 5
 #: Probability at which a pair is given up, and the number of hashes in each batch of the comparison.
-MISS, BATCH = 1e-9, 40
-#: Buckets of more documents than this are compared in blocks of BLOCK documents.
-SMALL_BUCKET, BLOCK = 32, 512
+MISS, BATCH = 1e-6, 40
+#: Buckets of more documents than this are compared inside tasks, BLOCK by BLOCK documents.
+SMALL_BUCKET, BLOCK = 8, 256
 #: Documents in verification whose ids may be broadcast (16 bytes each); more are shuffled.
 BROADCAST_IDS = 500_000
 
@@ -87,6 +88,18 @@ def _agree(a: np.ndarray, b: np.ndarray, stops: list[tuple[int, int]]) -> np.nda
     return alive
 
 
+def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sorted sets reach the threshold."""
+    if len(x) > len(y):
+        x, y = y, x
+    if 100 * len(x) < percent * len(y):
+        return False
+    at = np.searchsorted(y, x)
+    at[at == len(y)] = 0
+    both = int((y[at] == x).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
 
@@ -150,14 +163,16 @@ class _Finder:
         right = self.signed.select(F.col("doc_id").alias("b"), F.col("signature").alias("sb"))
         return pairs.join(right, "b").join(left, "a").select("a", "b", "sa", "sb").mapInArrow(compare, f"a {self.kind}, b {self.kind}")
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """``doc_id, s``: the full sets of the documents in ``ids``."""
+        if ids.count() <= BROADCAST_IDS:
+            ids = F.broadcast(ids)
+        return self.docs.join(ids, "doc_id", "left_semi").select("doc_id", _full_set(self.size)("text").alias("s"))
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """The likely pairs whose full sets reach the threshold."""
         likely = materialize(pairs, "likely")
-        ids = likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()
-        n = ids.count()
-        if n <= BROADCAST_IDS:
-            ids = F.broadcast(ids)
-        sets = materialize(self.docs.join(ids, "doc_id", "left_semi").select("doc_id", _full_set(self.size)("text").alias("s")), "sets")
+        sets = materialize(self.sets(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()), "sets")
         left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
         x, y, both = F.size("sa"), F.size("sb"), F.size(F.array_intersect("sa", "sb"))
@@ -166,43 +181,58 @@ class _Finder:
         return materialize(found.distinct(), "links")
 
     def rest(self, members: DataFrame, parts: DataFrame) -> DataFrame:
-        """Likely pairs of bucket members in different components, besides those with the hub."""
-        stops = self.stops
+        """Links between bucket members in different components, besides those with the hub."""
         labelled = members.where("doc_id > hub").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part"))
-        mixed = labelled.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).where("low < high")
-        open_ = materialize(labelled.join(mixed.select("bucket", "n"), "bucket"), "open-buckets")
+        mixed = labelled.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"), F.min("doc_id").alias("first")).where("low < high")
+        open_ = materialize(labelled.join(mixed.select("bucket", "n", "first"), "bucket"), "open-buckets")
         small = open_.where(F.col("n") <= SMALL_BUCKET)
         other = small.select("bucket", F.col("doc_id").alias("b"), F.col("part").alias("other"))
         pairs = small.join(other, "bucket").where("doc_id < b and part != other").select(F.col("doc_id").alias("a"), "b").distinct()
-        pairs = self.likely(pairs)
-        large = open_.where(F.col("n") > SMALL_BUCKET)
+        return self.links(self.likely(pairs)).union(self.dense(open_.where(F.col("n") > SMALL_BUCKET)))
+
+    def dense(self, large: DataFrame) -> DataFrame:
+        """Links within large buckets (bucket, doc_id, part, n, first)."""
+        # buckets that share documents, and whether all their documents together make fewer pairs than the buckets do
+        groups = connected_components(large.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
+        grouped = large.join(groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")), "doc_id")
+        together = grouped.select("grp", "doc_id").distinct().groupBy("grp").agg(F.count("*").alias("all_n"))
+        apart = grouped.select("grp", "bucket", "n").distinct().groupBy("grp").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("cost"))
+        merged = together.join(apart, "grp").select("grp", "all_n", (F.col("all_n").cast("double") * F.col("all_n") <= F.col("cost")).alias("merge"))
+        key = F.when(F.col("merge"), F.xxhash64(F.lit("group"), "grp")).otherwise(F.xxhash64(F.lit("bucket"), "bucket"))
+        units = grouped.join(merged, "grp").select(key.alias("unit"), "doc_id", "part", F.when(F.col("merge"), F.col("all_n")).otherwise(F.col("n")).alias("n")).distinct()
+        units = materialize(units, "dense-units")
+        profiles = materialize(self.sets(units.select("doc_id").distinct()).join(self.signed, "doc_id"), "profiles")
         blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        dealt = large.select("bucket", "doc_id", "part", blocks.alias("k"), F.pmod(F.xxhash64("doc_id", "bucket"), blocks).cast("int").alias("own"))
-        dealt = dealt.select("bucket", "doc_id", "part", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("x")).join(self.signed, "doc_id")
-        dealt = dealt.select("bucket", "doc_id", "part", "own", "signature", F.least("own", "x").alias("i"), F.greatest("own", "x").alias("j"))
+        dealt = units.select("unit", "doc_id", "part", blocks.alias("k"), F.pmod(F.xxhash64("doc_id", "unit"), blocks).cast("int").alias("own"))
+        dealt = dealt.select("unit", "doc_id", "part", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("x")).join(profiles, "doc_id")
+        dealt = dealt.select("unit", "doc_id", "part", "own", "signature", "s", F.least("own", "x").alias("i"), F.greatest("own", "x").alias("j"))
+        stops, percent = self.stops, self.percent
 
         def compare(table: pa.Table) -> pa.Table:
-            own, part, ids = (table.column(c).to_numpy() for c in ("own", "part", "doc_id"))
+            own, ids, part = (table.column(c).to_numpy() for c in ("own", "doc_id", "part"))
+            part = part.copy()
             sign = _matrix(table.column("signature").combine_chunks())
+            lists = table.column("s").combine_chunks()
+            ends, values = np.asarray(lists.offsets), np.asarray(lists.values).view(np.uint64)
+            sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
             i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-            left = np.flatnonzero(own == i)
-            right = np.flatnonzero(own == j)
-            out: list[tuple] = []
-            for p in left.tolist():
+            right, out = np.flatnonzero(own == j), []
+            for p in np.flatnonzero(own == i).tolist():
                 others = right[(part[right] != part[p]) & ((ids[right] > ids[p]) if i == j else True)]
                 for q in others[_agree(np.broadcast_to(sign[p], (len(others), sign.shape[1])), sign[others], stops)].tolist():
-                    out.append((min(ids[p], ids[q]), max(ids[p], ids[q])))
+                    if part[p] != part[q] and _linked(sets[p], sets[q], percent):
+                        out.append((min(ids[p], ids[q]), max(ids[p], ids[q])))
+                        part[part == part[q]] = part[p]  # what is joined needs no further comparison
             kind = table.schema.field("doc_id").type
             return pa.table({"a": pa.array([x for x, _ in out], kind), "b": pa.array([y for _, y in out], kind)})
 
-        blocked = dealt.groupBy("bucket", "i", "j").applyInArrow(compare, f"a {self.kind}, b {self.kind}")
-        return pairs.union(blocked).distinct()
+        return materialize(dealt.groupBy("unit", "i", "j").applyInArrow(compare, f"a {self.kind}, b {self.kind}"), "dense-links")
 
     def run(self) -> DataFrame:
         members = self.members()
         first = self.links(self.likely(members.where("doc_id > hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()))
         parts = connected_components(first)
-        second = self.links(self.rest(members, parts))
+        second = self.rest(members, parts)
         parts = materialize(connected_components(first.union(second)), "components")
         classes = self.classes.join(parts, F.col("first") == F.col("node"), "left").select("digest", F.coalesce("component", "first").alias("component"))
         slim = self.sketched.select("doc_id", "n_shingles", "digest")
