@@ -123,8 +123,32 @@ def _sharding_sql() -> str:
         SELECT doc_id, slot, CAST({table}[slot + 1] AS INTEGER) AS shard FROM d"""
 
 
+_LOWERED = f"translate(coalesce(text, ''), '{''.join(map(chr, range(65, 91)))}', '{''.join(map(chr, range(97, 123)))}')"
+_NEAR_SQL = f"""
+    WITH RECURSIVE w AS (SELECT doc_id, [x FOR x IN regexp_split_to_array({_LOWERED}, '[\\x20\\x09-\\x0D]+') IF x <> ''] AS a FROM documents),
+    s AS MATERIALIZED (SELECT DISTINCT doc_id, sh FROM (SELECT doc_id, unnest(CASE WHEN len(a) > 1 THEN [a[i] || ' ' || a[i + 1] FOR i IN range(1, len(a))] ELSE a END) AS sh FROM w)),
+    n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    e AS MATERIALIZED (SELECT x.doc_id AS a, y.doc_id AS b FROM s AS x JOIN n AS nx ON nx.doc_id = x.doc_id JOIN s AS y ON y.sh = x.sh AND y.doc_id <> x.doc_id JOIN n AS ny ON ny.doc_id = y.doc_id
+        WHERE 100 * least(nx.n, ny.n) >= 80 * greatest(nx.n, ny.n) GROUP BY 1, 2 HAVING 100 * count(*) >= 80 * (any_value(nx.n) + any_value(ny.n) - count(*))),
+    r AS (SELECT doc_id, doc_id AS o FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.o)
+    SELECT r.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(o) AS component_id, r.doc_id = min(o) AS kept FROM r LEFT JOIN n ON n.doc_id = r.doc_id GROUP BY r.doc_id"""
+_PLAIN = "'[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'"
+_LEAK_SQL = f"""
+    WITH d AS MATERIALIZED (SELECT doc_id, regexp_extract_all({_LOWERED}, {_PLAIN}) AS a FROM documents),
+    b AS (SELECT item_id, regexp_extract_all({_LOWERED}, {_PLAIN}) AS a FROM benchmark),
+    p AS MATERIALIZED (SELECT DISTINCT item_id, n, array_to_string(a[i:i + n - 1], ' ') AS t FROM (SELECT item_id, a, least(10, len(a)) AS n, unnest(range(1, len(a) - least(10, len(a)) + 2)) AS i FROM b WHERE len(a) > 0)),
+    m AS (SELECT doc_id, n, i, array_to_string(a[i:i + n - 1], ' ') AS t FROM (SELECT doc_id, a, n, unnest(range(1, len(a) - n + 2)) AS i FROM d, (SELECT DISTINCT n FROM p) AS q)),
+    h AS MATERIALIZED (SELECT doc_id, i, m.n, item_id FROM m JOIN p ON p.n = m.n AND p.t = m.t),
+    k AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM h) GROUP BY doc_id),
+    g AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS i FROM h) GROUP BY doc_id)
+    SELECT d.doc_id, CAST(len(a) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+    FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN g ON g.doc_id = d.doc_id"""
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
+    "op7_near_duplicates": _NEAR_SQL,
+    "op10_decontamination": _LEAK_SQL,
     "op1_license_scan": _license_sql(),
     "op3_sharding": _sharding_sql(),
     "op4_exact_top_k": """

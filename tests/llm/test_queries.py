@@ -21,7 +21,7 @@ COLUMNS = {
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     want = con.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, DATA)
