@@ -70,6 +70,15 @@ def write_table(df: DataFrame, path: str, replace: bool = False) -> None:
     df.write.mode("overwrite" if replace else "errorifexists").parquet(path)
 
 
+def recreate_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder in place of whatever stood there."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(where, True)
+    fs.mkdirs(where)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """CSV with a header; nested values as JSON."""
     nested = {f.name: F.to_json(f.name) for f in df.schema.fields if isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType))}

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillstone.sources import files, rest, xlsx
-from rillstone.streaming import cache
+from rillstone.streaming import cache, progress
 
 
 def test_csv_and_tables(spark, tmp_path):
@@ -115,3 +115,25 @@ def test_windows(spark):
 def test_report(spark):
     text = files.markdown_report("T", [("S", spark.createDataFrame([(1, None)], "a int, b string"))])
     assert "# T" in text and "| 1 |  |" in text
+
+
+def test_progress_counts_in_tasks(spark):
+    now = [0.0]
+    bar = progress.Progress(spark, 10, lambda: now[0])
+
+    def work(frames):
+        for f in frames:
+            for k in f["id"]:
+                bar.add(cached=k % 2 == 0, error=k == 3)
+            yield f
+
+    spark.range(5).mapInPandas(work, "id long").write.format("noop").mode("overwrite").save()
+    now[0] = 5.0
+    assert bar.line() == "5/10 (50 %), cached 3, errors 1, 5 s left"
+
+
+def test_folders_are_made_anew(spark, tmp_path):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "f").write_text("x")
+    files.recreate_folder(spark, str(tmp_path / "d"))
+    assert list((tmp_path / "d").iterdir()) == []
