@@ -22,9 +22,8 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType
 
 from rillstone.llm.byte_bpe import byte_bpe
 from rillstone.llm.common import new_folder, remove
@@ -175,13 +174,14 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id
     remove(spark, staged)
 
 
-@F.udf(BinaryType())
-def _merkle(roots: list) -> bytes:
-    return merkle_root(b"".join(bytes(r["root"]) for r in roots))
+def _root_over(col: str) -> Column:
+    """Aggregate: the Merkle root over a part's roots in the order of ``idx``."""
 
+    @F.arrow_udf("binary")
+    def root(parts: pa.Array) -> pa.Array:
+        return pa.array([merkle_root(b"".join(r["root"] for r in part)) for part in parts.to_pylist()], pa.binary())
 
-def _root_over(col: str) -> F.Column:
-    return _merkle(F.sort_array(F.collect_list(F.struct("idx", F.col(col).alias("root")))))
+    return root(F.sort_array(F.collect_list(F.struct("idx", F.col(col).alias("root")))))
 
 
 def _chunk_facts(chunks: DataFrame) -> DataFrame:
