@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillstone.llm.byte_bpe import byte_bpe
-from rillstone.llm.common import new_folder, remove
+from rillstone.llm.common import bound_batches, new_folder, remove
 
 DIGEST = 16
 #: Ids that the rolling hash looks at, and the bounds and mean (a power of two) of a chunk's length.
@@ -117,6 +117,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id
     and places are shuffled to find repeats, never the ids.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     width = 2 if byte_bpe(vocabulary).size <= 1 << 16 and end_id < 1 << 16 else 4
     names = ["doc_id", "n_tokens", "recipe", "place", "digest", "n", "ids"]

@@ -8,6 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of an Arrow batch at most: rows hold whole texts, and a batch lies in memory several times on its way.
+BATCH_ROWS = 2000
+
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -24,6 +27,13 @@ def shared_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to BATCH_ROWS; smaller ones stay."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared folder; removed when the driver ends."""
     path = f"{shared_dir(spark)}/rillstone/{name}-{uuid.uuid4().hex}"

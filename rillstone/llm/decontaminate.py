@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import materialize
+from rillstone.llm.common import bound_batches, materialize
 from rillstone.llm.words import PLAIN, mix, slices, words
 
 WINDOW = 10
@@ -137,6 +137,7 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
     that it is dealt out to as many passes as needed, each broadcasting its share and writing what it found.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     items = benchmark.select(F.col(item_col).alias("item"), F.col(item_text_col).alias("text")).where("text is not null").distinct()
     id_type = items.schema["item"].dataType.simpleString()
     if id_type not in ("int", "bigint", "string"):

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import materialize
+from rillstone.llm.common import bound_batches, materialize
 
 #: Rows of data and queries that meet in one task, and queries that are scored at once there.
 DATA_BLOCK, QUERY_BLOCK, AT_ONCE = 16_384, 2_048, 128
@@ -121,6 +121,7 @@ def top_k(table: DataFrame, is_query: Column, k: int = 10, scale: int = 1024, id
     ``is_query`` is a condition on the column ``vec_id`` (the id under that name).
     """
     spark = table.sparkSession
+    bound_batches(spark)
     scaled = scaled_vectors(table, id_col, vector_col, scale)
     id_type = scaled.schema["vec_id"].dataType.simpleString()
     dims = scaled.agg(F.max(F.size("v"))).first()[0] or 0

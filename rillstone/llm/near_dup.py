@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import materialize
+from rillstone.llm.common import bound_batches, materialize
 from rillstone.llm.components import connected_components
 from rillstone.llm.words import SPACED, shingles, slices, words
 
@@ -132,6 +132,7 @@ class _Finder:
     """One run over one table."""
 
     def __init__(self, docs: DataFrame, id_col: str, text_col: str, size: int, percent: int) -> None:
+        bound_batches(docs.sparkSession)
         self.size, self.percent = size, percent
         self.stops = least_matches(percent / 100)
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))

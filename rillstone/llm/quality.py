@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillstone.llm.common import bound_batches
 from rillstone.llm.words import SPACED, mix, slices, span_hashes
 
 TRAIN_DOCS, TRAIN_LINES, SEGMENT = 2000, 256, 64
@@ -194,6 +195,7 @@ def held_out(id_col: str = "doc_id") -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Crf:
     """Fit on at most ``most`` labelled documents that are not held out."""
+    bound_batches(docs.sparkSession)
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
     sample = usable.orderBy(F.xxhash64("__id"), "__id", "__label").limit(most)
 

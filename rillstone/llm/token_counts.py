@@ -25,6 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rillstone.llm.common import bound_batches
+
 SPACE = "▁"
 CHUNK_CHARS = 1 << 16
 #: Entries of the per-worker caches (segment counts, states). They bound memory; results do not depend on them.
@@ -303,6 +305,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     One pass without a shuffle. Each Python worker compiles its own transducer from ``model_path``, which every
     executor must be able to open.
     """
+    bound_batches(docs.sparkSession)
     slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     slim = slim.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
 

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import materialize
+from rillstone.llm.common import bound_batches, materialize
 
 FRAME_BYTES, BUNDLE_BYTES = 1 << 18, 1 << 24
 #: Repeated digests that may be broadcast (about 100 bytes each); more are joined by a shuffle.
@@ -147,6 +147,7 @@ def write_archive(pages: DataFrame, path: str, least: int = 100, date: str = "20
     adaptive execution may split where one payload has many rows.
     """
     spark = pages.sparkSession
+    bound_batches(spark)
     body = F.coalesce(F.col(payload_col), F.lit(""))
     slim = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), body.cast("binary").alias("payload"), F.sha2(body.cast("binary"), 256).alias("digest"))
     repeated = slim.where(F.octet_length("payload") >= least).groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first")
