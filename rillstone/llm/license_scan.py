@@ -38,8 +38,9 @@ def canonical_lines(text: Column) -> Column:
 
 def _known(df: DataFrame, rows: list[tuple[str, str]], digest: str, name: str) -> DataFrame:
     """Digest -> identifier of known texts: a table of fixed size."""
-    rows_ = F.explode(F.array(*(F.struct(F.lit(i).alias("id"), F.lit(t).alias("t")) for i, t in rows))).alias("r")
-    table = df.sparkSession.range(1).select(rows_).select(F.col("r.id").alias(name), F.sha2(F.array_join(canonical_lines(F.col("r.t")), " "), 256).alias(digest))
+    packed = "\x1e".join(f"{i}\x1f{t}" for i, t in rows)  # one literal, not thousands of expressions
+    pair = F.split("r", "\x1f")
+    table = df.sparkSession.range(1).select(F.explode(F.split(F.lit(packed), "\x1e")).alias("r")).select(pair[0].alias(name), F.sha2(F.array_join(canonical_lines(pair[1]), " "), 256).alias(digest))
     return table.groupBy(digest).agg(F.min(name).alias(name))
 
 
