@@ -116,16 +116,23 @@ def candidate_links(projects: DataFrame, authored: DataFrame, horizon: int = sim
     ``projects``: project_id, project_year, coordinator_norm, project_tokens. ``authored``: one row per authorship with
     author_name_norm, author_name_raw, auth_seq, publication_id, publication_year, publication_tokens, ri, scopus, wos.
     A missing year passes and earns no points. Each pair comes once, with the author row of smallest ``auth_seq``.
+
+    ``title_similarity`` is the larger of half the sequence ratio of project_title_norm and publication_title_norm and
+    the word overlap. Inputs that both lack a title column are compared by their words alone; one title alone raises.
     """
+    titled = ("project_title_norm" in projects.columns, "publication_title_norm" in authored.columns)
+    if any(titled) and not all(titled):
+        raise ValueError("titles are compared if both project_title_norm and publication_title_norm are given")
     delta = F.col("publication_year") - F.col("project_year")
     near = F.col("publication_year").isNull() | F.col("project_year").isNull() | delta.between(0, horizon)
     known = authored.where(F.col("publication_id").isNotNull())
     pairs = projects.where(F.col("coordinator_norm") != "").join(known, (F.col("coordinator_norm") == F.col("author_name_norm")) & near)
     keep = [c for c in pairs.columns if c not in ("project_id", "publication_id", "author_name_raw", "auth_seq", "author_name_norm")]
     once = pairs.groupBy("project_id", "publication_id").agg(F.min_by("author_name_raw", "auth_seq").alias("matched_author"), *(F.first(c).alias(c) for c in keep))
-    similarity = sim.jaccard_4(F.col("project_tokens"), F.col("publication_tokens"))
-    scored = once.withColumn("year_delta", F.col("publication_year") - F.col("project_year")).withColumn("title_similarity", similarity)
-    return with_score(scored)
+    dated = once.withColumn("year_delta", F.col("publication_year") - F.col("project_year"))
+    if not all(titled):
+        return with_score(dated.withColumn("title_similarity", sim.jaccard_4(F.col("project_tokens"), F.col("publication_tokens"))))
+    return with_score(sim.with_title_score(dated, "project_title_norm", "publication_title_norm", "project_tokens", "publication_tokens"))
 
 
 def with_score(pairs: DataFrame) -> DataFrame:

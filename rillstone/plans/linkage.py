@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.functions import text as tx
-from rillstone.functions.similarity import sequence_ratio, with_title_score
+from rillstone.functions.similarity import sequence_ratio
 from rillstone.operators import enrichment as en
 from rillstone.operators import linkage as ln
 from rillstone.operators import metrics as mt
@@ -155,10 +155,10 @@ def _titled(spark, d):
 
 def _candidates(spark, d):
     named = _titled(spark, d)
-    projects = named.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("project_id"), F.col("year").alias("project_year"), F.col("name_norm").alias("coordinator_norm"), F.col("tokens").alias("project_tokens"), F.col("title_norm").alias("project_title"))
+    projects = named.where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("project_id"), F.col("year").alias("project_year"), F.col("name_norm").alias("coordinator_norm"), F.col("tokens").alias("project_tokens"), F.col("title_norm").alias("project_title_norm"))
     year = F.when(F.col("o_orderkey") % 50 != 0, F.col("year"))
     authored = named.where("o_orderstatus = 'O'").select(
-        F.col("name_norm").alias("author_name_norm"), F.col("c_name").alias("author_name_raw"), F.col("o_orderkey").alias("auth_seq"), F.col("o_orderkey").alias("publication_id"), year.alias("publication_year"), F.col("tokens").alias("publication_tokens"), F.col("title_norm").alias("publication_title"), "ri", "scopus", "wos",
+        F.col("name_norm").alias("author_name_norm"), F.col("c_name").alias("author_name_raw"), F.col("o_orderkey").alias("auth_seq"), F.col("o_orderkey").alias("publication_id"), year.alias("publication_year"), F.col("tokens").alias("publication_tokens"), F.col("title_norm").alias("publication_title_norm"), "ri", "scopus", "wos",
     )
     return ln.candidate_links(projects, authored)
 
@@ -399,8 +399,7 @@ def kmeans_sizes(spark, d):
 
 @_query
 def title_scores(spark, d):
-    pairs = _candidates(spark, d)
-    return with_title_score(pairs.drop("title_similarity"), "project_title", "publication_title", "project_tokens", "publication_tokens").select("project_id", "publication_id", "title_similarity")
+    return _candidates(spark, d).select("project_id", "publication_id", "title_similarity")
 
 
 @_query

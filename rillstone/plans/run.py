@@ -90,11 +90,11 @@ def build(tables: dict[str, DataFrame], blank_keys: str = "exclude", limit: int
         truth = en.merge_abstracts(truth, abstracts, "doi_norm", files.resolve_column(abstracts, "doi") or "doi", names, "row_index")
     like = truth.where(F.col("result_type").isin(ln.PUBLICATION_TYPES)).withColumn("result_is_publication_like", F.lit(True))
 
-    sides = publications.select("publication_id", F.col("year").alias("publication_year"), F.col("title").alias("publication_title"), tx.tokens("title_norm").alias("publication_tokens"), "doi", F.col("found_in_RI").alias("ri"), F.col("found_in_SCOPUS").alias("scopus"), F.col("found_in_WOS").alias("wos"))
+    sides = publications.select("publication_id", F.col("year").alias("publication_year"), F.col("title").alias("publication_title"), F.col("title_norm").alias("publication_title_norm"), tx.tokens("title_norm").alias("publication_tokens"), "doi", F.col("found_in_RI").alias("ri"), F.col("found_in_SCOPUS").alias("scopus"), F.col("found_in_WOS").alias("wos"))
     order = F.struct((F.col("source") != "SCOPUS").alias("s"), "seq", "author_order")
     authors = authored.select("publication_id", "author_name_norm", "author_name_raw", order.alias("auth_seq")).join(sides, "publication_id")
-    coordinated = projects.select("project_id", "codigo_campus", F.col("year").alias("project_year"), F.col("title").alias("project_title"), "coordinator_original", "coordinator_norm", tx.tokens("title_norm").alias("project_tokens"))
-    candidates = with_orcid(ln.candidate_links(coordinated, authors), "coordinator_norm").drop("project_tokens", "publication_tokens").cache()
+    coordinated = projects.select("project_id", "codigo_campus", F.col("year").alias("project_year"), F.col("title").alias("project_title"), "coordinator_original", "coordinator_norm", F.col("title_norm").alias("project_title_norm"), tx.tokens("title_norm").alias("project_tokens"))
+    candidates = with_orcid(ln.candidate_links(coordinated, authors), "coordinator_norm").drop("project_title_norm", "publication_title_norm", "project_tokens", "publication_tokens").cache()
     pairs = like.where("publication_id is not null").select("project_id", "publication_id").distinct()
     return {
         "projects": projects, "investigators": persons, "investigator_aliases": ln.person_aliases(persons), "publications": publications,
