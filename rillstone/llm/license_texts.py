@@ -1,4 +1,10 @@
-"""Known licence texts and the rule for notices. Fixed values; they are normalized before use."""
+"""Known licence texts and the rule for notices. Fixed values; they are normalized before use.
+
+Long texts stand in the folder ``licenses``, by identifier; only the driver reads them. No whole text is known of
+AGPL-3.0-only, CC-BY-4.0, CC-BY-NC-4.0, CC-BY-ND-4.0, CC-BY-NC-SA-4.0 and CC-BY-NC-ND-4.0: these are found by notices alone.
+"""
+
+from importlib.resources import files
 
 MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
 
@@ -57,6 +63,12 @@ TEXTS: list[tuple[str, str]] = [
     ("Zlib", "zlib License\n\n" + ZLIB),
     ("Apache-2.0", APACHE_NOTICE),
 ]
+_END = "END OF TERMS AND CONDITIONS"
+for _file in sorted(files("rillstone.llm").joinpath("licenses").iterdir(), key=lambda f: f.name):
+    _text = _file.read_text(encoding="utf-8")
+    TEXTS.append((_file.name.removesuffix(".txt"), _text))
+    if _END in _text:  # without the advice on how to apply the licence
+        TEXTS.append((_file.name.removesuffix(".txt"), _text[: _text.index(_END) + len(_END)]))
 
 #: Identifier -> names in notices.
 NAMES: dict[str, list[str]] = {
