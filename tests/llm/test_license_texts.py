@@ -22,3 +22,25 @@ def test_shipped_texts_are_found(spark):
     rows = [(i, p.read_text(encoding="utf-8").replace("\n", "\r\n")) for i, p in paths.items()]
     got = license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
     assert {(r.doc_id, r.license_id) for r in got} == {(i, i) for i in paths}
+
+
+CREDITS = ["# Copyright (c) 2020 A", "// Copyright 2020 A", " * Copyright (c) A", "Copyright The A Authors", "Copyright, 2020 A", "Copyright [yyyy] [name of copyright owner]", "/* (c) 2020 A */", "(C) Some One", ".. Copyright by A", "Copyright A, Inc.", "Portions Copyright © A", "All rights reserved."]
+TERMS = ["copyright notice and this permission notice shall be", "COPYRIGHT OWNER OR CONTRIBUTORS BE", "COPYRIGHT HOLDERS AND CONTRIBUTORS", "copyright the work", "(c) You must retain, in the Source form", "copyright license to reproduce"]
+
+
+def test_credits_go_and_terms_stay(spark):
+    mit = dict(TEXTS)["Zlib"]
+    rows = [(c, f"{c}\n\n{mit}") for c in CREDITS + TERMS]
+    found = {r.doc_id: r.license_id for r in license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()}
+    assert found == {c: "Zlib" for c in CREDITS} | {c: None for c in TERMS}
+
+
+def test_broken_lines_and_comment_marks_agree(spark):
+    bsd = next(t for i, t in TEXTS if i == "BSD-3-Clause").replace("COPYRIGHT HOLDER OR CONTRIBUTORS", "COPYRIGHT OWNER OR CONTRIBUTORS")
+    apache = max((t for i, t in TEXTS if i == "Apache-2.0"), key=len)
+    forms = [bsd, bsd.replace("COPYRIGHT OWNER", "COPYRIGHT\nOWNER"), "# Copyright (c) 2020 A\n" + "\n".join(f"# {x}" for x in bsd.replace(" ", "\n").split("\n"))]
+    rows = [("BSD-3-Clause", t) for t in forms] + [("Apache-2.0", apache.replace("(c) You must retain, in the Source form", "(c) You must retain, in the\n Source form")), ("Apache-2.0", apache.replace("Copyright [yyyy] [name of copyright owner]", "Copyright 2020 A"))]
+    rows += [("made", "we fulfil\nit"), ("made", "we fulfill it"), ("made", "we\nfulfil it")]
+    got = license_scan(spark.createDataFrame(rows, "doc_id string, text string")).collect()
+    assert all(r.license_id == (None if r.doc_id == "made" else r.doc_id) for r in got)
+    assert len({(r.doc_id, r.digest) for r in got}) == 3
