@@ -56,7 +56,7 @@ def identifier_normalize_wide(spark, d):
 def work_queries(spark, d):
     docs = _t(spark, d, "documents")
     doi = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("10.1/AB"), F.col("doc_id"))).otherwise("-")
-    return docs.select("doc_id", tx.cache_key(doi, F.substring("text", 1, 30)).alias("key"), tx.work_query(doi, F.lit("A study about open science")).alias("url"))
+    return docs.select("doc_id", tx.cache_key(doi, F.col("text")).alias("key"), tx.work_query(doi, F.lit("A study about open science")).alias("url"))
 
 
 @_query
@@ -66,14 +66,14 @@ def name_aliases(spark, d):
 
 
 def _author_records(spark, d):
-    words = F.array_join(F.split(F.substring("text", 1, 60), " "), "|")
-    ids = F.array_join(F.transform(F.split(F.substring("text", 1, 60), " "), lambda w, i: F.when(i % 3 == 0, "-").otherwise(F.concat(F.lit("id"), i))), "|")
+    words = F.array_join(F.split("text", " "), "|")
+    ids = F.array_join(F.transform(F.split("text", " "), lambda w, i: F.when(i % 3 == 0, "-").otherwise(F.concat(F.lit("id"), i))), "|")
     return _records(spark, d).join(_t(spark, d, "documents").select(F.col("doc_id").alias("seq"), words.alias("authors"), ids.alias("ids")), "seq")
 
 
 @_query
 def split_authors(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", F.array_join(F.split(F.substring("text", 1, 60), " "), "|").alias("authors"))
+    docs = _t(spark, d, "documents").select("doc_id", F.array_join(F.split("text", " "), "|").alias("authors"))
     return docs.select("doc_id", F.posexplode(tx.split_list("authors")).alias("p", "author")).select("doc_id", (F.col("p") + 1).alias("author_order"), "author")
 
 
@@ -100,8 +100,8 @@ def person_lookup_last_wins(spark, d):
 def _records(spark, d):
     k = F.col("doc_id")
     base = _t(spark, d, "documents").select(
-        k.alias("seq"), F.when(k % 5 == 0, F.concat(F.lit("https://doi.org/10.1/"), k % 40)).otherwise("-").alias("doi"), F.substring("text", 1, 60).alias("title"), F.when(k % 11 != 0, 2000 + k % 20).cast("int").alias("year"),
-        F.when(k % 7 == 0, "-").otherwise(F.col("source")).alias("journal"), F.when(k % 6 == 0, "").otherwise(F.substring("text", 1, 20)).alias("abstract"), F.when(k % 4 != 0, F.col("lang")).alias("keywords"),
+        k.alias("seq"), F.when(k % 5 == 0, F.concat(F.lit("https://doi.org/10.1/"), k % 40)).otherwise("-").alias("doi"), F.col("text").alias("title"), F.when(k % 11 != 0, 2000 + k % 20).cast("int").alias("year"),
+        F.when(k % 7 == 0, "-").otherwise(F.col("source")).alias("journal"), F.when(k % 6 == 0, "").otherwise(F.col("text")).alias("abstract"), F.when(k % 4 != 0, F.col("lang")).alias("keywords"),
     )
     return ln.source_records({s: base.where(F.col("seq") % 3 == i) for i, s in enumerate(("SCOPUS", "WOS", "RI"))})
 
@@ -120,7 +120,8 @@ def source_pivot_flags(spark, d):
 @_query
 def authorships_attach(spark, d):
     records = _author_records(spark, d)
-    return ln.attach_publications(ln.authorships(records, "authors", "ids"), ln.consolidate(records)).select("publication_id", "source", F.col("seq").alias("doc_id"), "author_order", "author_name_norm", "external_author_id")
+    attached = ln.attach_publications(records, ln.consolidate(records))  # before the lists are exploded: keys hold whole titles
+    return ln.authorships(attached, "authors", "ids", "publication_id").select("publication_id", "source", F.col("seq").alias("doc_id"), "author_order", "author_name_norm", "external_author_id")
 
 
 def _truth(spark, d, policy, every):
