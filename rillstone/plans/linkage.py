@@ -356,8 +356,7 @@ def project_text(spark, d):
 
 @_query
 def tfidf_relational(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", F.regexp_replace(F.lower("text"), "[^a-z]+", " ").alias("text"))
-    return sm.tfidf(docs, "doc_id", "text", 200).select("doc_id", "term", F.round("weight", 6).alias("weight"))
+    return sm.tfidf(_t(spark, d, "documents"), "doc_id", "text").select("doc_id", "term", F.round("weight", 6).alias("weight"))
 
 
 @_query
