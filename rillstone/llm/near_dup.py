@@ -4,10 +4,10 @@
    here on its smallest document stands for it.
 2. Documents that agree on all hashes of a band share a bucket. In each bucket all are compared with its smallest
    document only: that is linear in the bucket and joins most of what belongs together.
-3. What still lies in different components of a bucket is compared pair by pair: small buckets emit these pairs. Large
-   ones that share documents are put together where that means fewer pairs, and are compared and verified block by block
-   inside tasks, which emit links only. Pairs inside a component need no comparison, since the result is the component
-   and no link is lost by leaving them out.
+3. What still lies in different components of a bucket is compared pair by pair: small buckets emit these pairs. The
+   documents of large ones meet only where they share one of their rarest shingles (``_Finder.rare_pairs``), which loses
+   no link and keeps apart what has a common passage only. Pairs inside a component need no comparison, since the result
+   is the component and no link is lost by leaving them out.
 
 A comparison looks at the signatures one batch after another and gives a pair up once the posterior probability of a
 similarity of at least the threshold falls below ``MISS``. Survivors are verified on their full sets.
@@ -38,8 +38,8 @@ from rillstone.llm.words import SPACED, shingles, slices, words
 BANDS, ROWS = 40, 5
 #: Probability at which a pair is given up, and the number of hashes in each batch of the comparison.
 MISS, BATCH = 1e-6, 40
-#: Buckets of more documents than this are compared inside tasks, BLOCK by BLOCK documents.
-SMALL_BUCKET, BLOCK = 8, 256
+#: Buckets of more documents than this emit only pairs with a rare shingle in common.
+SMALL_BUCKET = 8
 #: Documents in verification whose ids may be broadcast (16 bytes each); more are shuffled.
 BROADCAST_IDS = 500_000
 
@@ -88,18 +88,6 @@ def _agree(a: np.ndarray, b: np.ndarray, stops: list[tuple[int, int]]) -> np.nda
     return alive
 
 
-def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
-    """Whether two sorted sets reach the threshold."""
-    if len(x) > len(y):
-        x, y = y, x
-    if 100 * len(x) < percent * len(y):
-        return False
-    at = np.searchsorted(y, x)
-    at[at == len(y)] = 0
-    both = int((y[at] == x).sum())
-    return 100 * both >= percent * (len(x) + len(y) - both)
-
-
 def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint32).reshape(-1, BANDS * ROWS)
 
@@ -184,50 +172,43 @@ class _Finder:
     def rest(self, members: DataFrame, parts: DataFrame) -> DataFrame:
         """Links between bucket members in different components, besides those with the hub."""
         labelled = members.where("doc_id > hub").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part"))
-        mixed = labelled.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"), F.min("doc_id").alias("first")).where("low < high")
-        open_ = materialize(labelled.join(mixed.select("bucket", "n", "first"), "bucket"), "open-buckets")
+        mixed = labelled.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).where("low < high")
+        open_ = materialize(labelled.join(mixed.select("bucket", "n"), "bucket"), "open-buckets")
         small = open_.where(F.col("n") <= SMALL_BUCKET)
         other = small.select("bucket", F.col("doc_id").alias("b"), F.col("part").alias("other"))
-        pairs = small.join(other, "bucket").where("doc_id < b and part != other").select(F.col("doc_id").alias("a"), "b").distinct()
-        return self.links(self.likely(pairs)).union(self.dense(open_.where(F.col("n") > SMALL_BUCKET)))
-
-    def dense(self, large: DataFrame) -> DataFrame:
-        """Links within large buckets (bucket, doc_id, part, n, first)."""
-        # buckets that share documents, and whether all their documents together make fewer pairs than the buckets do
-        groups = connected_components(large.select(F.col("doc_id").alias("a"), F.col("first").alias("b")))
-        grouped = large.join(groups.select(F.col("node").alias("doc_id"), F.col("component").alias("grp")), "doc_id")
-        together = grouped.select("grp", "doc_id").distinct().groupBy("grp").agg(F.count("*").alias("all_n"))
-        apart = grouped.select("grp", "bucket", "n").distinct().groupBy("grp").agg(F.sum(F.col("n").cast("double") * F.col("n")).alias("cost"))
-        merged = together.join(apart, "grp").select("grp", "all_n", (F.col("all_n").cast("double") * F.col("all_n") <= F.col("cost")).alias("merge"))
-        key = F.when(F.col("merge"), F.xxhash64(F.lit("group"), "grp")).otherwise(F.xxhash64(F.lit("bucket"), "bucket"))
-        units = grouped.join(merged, "grp").select(key.alias("unit"), "doc_id", "part", F.when(F.col("merge"), F.col("all_n")).otherwise(F.col("n")).alias("n")).distinct()
-        units = materialize(units, "dense-units")
-        profiles = materialize(self.sets(units.select("doc_id").distinct()).join(self.signed, "doc_id"), "profiles")
-        blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-        dealt = units.select("unit", "doc_id", "part", blocks.alias("k"), F.pmod(F.xxhash64("doc_id", "unit"), blocks).cast("int").alias("own"))
-        dealt = dealt.select("unit", "doc_id", "part", "own", F.explode(F.sequence(F.lit(0), F.col("k") - 1)).alias("x")).join(profiles, "doc_id")
-        dealt = dealt.select("unit", "doc_id", "part", "own", "signature", "s", F.least("own", "x").alias("i"), F.greatest("own", "x").alias("j"))
-        stops, percent = self.stops, self.percent
-
-        def compare(table: pa.Table) -> pa.Table:
-            own, ids, part = (table.column(c).to_numpy() for c in ("own", "doc_id", "part"))
-            part = part.copy()
-            sign = _matrix(table.column("signature").combine_chunks())
-            lists = table.column("s").combine_chunks()
-            ends, values = np.asarray(lists.offsets), np.asarray(lists.values).view(np.uint64)
-            sets = [values[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-            right, out = np.flatnonzero(own == j), []
-            for p in np.flatnonzero(own == i).tolist():
-                others = right[(part[right] != part[p]) & ((ids[right] > ids[p]) if i == j else True)]
-                for q in others[_agree(np.broadcast_to(sign[p], (len(others), sign.shape[1])), sign[others], stops)].tolist():
-                    if part[p] != part[q] and _linked(sets[p], sets[q], percent):
-                        out.append((min(ids[p], ids[q]), max(ids[p], ids[q])))
-                        part[part == part[q]] = part[p]  # what is joined needs no further comparison
-            kind = table.schema.field("doc_id").type
-            return pa.table({"a": pa.array([x for x, _ in out], kind), "b": pa.array([y for _, y in out], kind)})
-
-        return materialize(dealt.groupBy("unit", "i", "j").applyInArrow(compare, f"a {self.kind}, b {self.kind}"), "dense-links")
+        pairs = small.join(other, "bucket").where("doc_id < b and part != other").select(F.col("doc_id").alias("a"), "b")
+        dense = self.rare_pairs(open_.where(F.col("n") > SMALL_BUCKET).select("doc_id", "part").distinct())
+        return self.links(self.likely(pairs.union(dense).distinct()))
+
+    def rare_pairs(self, dense: DataFrame) -> DataFrame:
+        """Pairs (a < b) of documents (doc_id, part) of different parts that can be links and share a rare shingle.
+
+        All sets are put in one order, shingles of the fewest documents first. Where two sets reach the threshold, their
+        first common shingle stands so early in both that enough can follow it (prefix and position filters); a passage
+        that many documents share stands behind that place. Shingles of a single part need no pairs; of others, the
+        documents outside the shingle's largest part meet all.
+        """
+        percent, n = F.lit(self.percent), F.col("n")
+        profiles = materialize(self.sets(dense.select("doc_id")).join(dense, "doc_id").select("doc_id", "part", F.size("s").cast("long").alias("n"), "s"), "dense-sets")
+        single = profiles.select("doc_id", "part", "n", F.explode("s").alias("t"))
+        often = single.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
+        known = single.join(often, "t").groupBy("doc_id", "part", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("k"))  # those of one document come before them
+        alone = n - F.size("k")
+        reach = n - F.ceil(percent * n / 100) + 1  # against smaller sets; against larger ones fewer will do
+        near = n - F.ceil(2 * percent * n / (percent + 100)) + 1
+        first = known.withColumn("alone", alone).withColumn("k", F.slice("k", 1, F.greatest(F.lit(0), reach - alone).cast("int")))
+        first = first.select("doc_id", "part", "n", "alone", near.alias("near"), F.posexplode("k").alias("i", "x"))
+        first = materialize(first.select(F.col("x.t").alias("t"), "doc_id", "part", "n", (F.col("alone") + F.col("i")).alias("p"), (F.col("alone") + F.col("i") < F.col("near")).alias("early")), "rare-shingles")
+        largest = first.groupBy("t", "part").agg(F.count("*").alias("c")).groupBy("t").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+        mixed = materialize(first.join(largest, "t"), "mixed-shingles")
+        x = mixed.where("part != main").select("t", *(F.col(c).alias(f"x_{c}") for c in ("doc_id", "part", "n", "p", "early")))
+        y = mixed.drop("main")
+        smaller = F.col("x_n") < n
+        indexed = F.when(smaller, F.col("x_early")).when(F.col("x_n") > n, F.col("early")).otherwise(F.col("early") & F.col("x_early"))
+        fits = percent * F.greatest("x_n", "n") <= 100 * F.least("x_n", "n")
+        enough = (percent + 100) * F.least(F.col("x_n") - F.col("x_p"), n - F.col("p")) >= percent * (F.col("x_n") + n)
+        found = x.join(y, (x["t"] == y["t"]) & (F.col("x_part") != F.col("part")) & indexed & fits & enough)
+        return found.select(F.least("x_doc_id", "doc_id").alias("a"), F.greatest("x_doc_id", "doc_id").alias("b"))
 
     def run(self) -> DataFrame:
         members = self.members()

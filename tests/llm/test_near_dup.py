@@ -50,10 +50,9 @@ def corpus(seed, n=220):
     return [*out, None, "", " \n ", "one", "ONE", "two words", "é", "É"]
 
 
-@pytest.mark.parametrize(("seed", "size", "bucket"), [(1, 2, 8), (2, 2, 2)])
+@pytest.mark.parametrize(("seed", "size", "bucket"), [(1, 2, 8), (2, 2, 1)])
 def test_components_equal_brute_force(spark, monkeypatch, seed, size, bucket):
     monkeypatch.setattr(nd, "SMALL_BUCKET", bucket)
-    monkeypatch.setattr(nd, "BLOCK", 7)
     texts = corpus(seed)
     ids = random.Random(seed).sample(range(1000), len(texts))
     rows = list(zip(ids, texts, strict=True))
@@ -80,3 +79,34 @@ def test_components_of_chains_stars_and_odd_links(spark):
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 100 for i in range(100, 141)} | {k: 500 for k in range(500, 560)} | {8: 8, 9: 8}
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def passage_corpus(n):
+    """``n`` texts that share a passage but no link, the last ten of which are near copies of the first ten."""
+    pick = random.Random(n)
+    passage = [f"p{i}" for i in range(80)]
+    own = [[f"o{pick.randrange(10**9)}" for _ in range(25)] for _ in range(n - 10)]
+    own += [[*words[:-1], "changed"] for words in own[:10]]
+    return [" ".join(passage + words) for words in own]
+
+
+def test_documents_of_one_passage_make_few_pairs(spark):
+    made = {}
+    for n in (1000, 5000):
+        docs = spark.createDataFrame(list(enumerate(passage_corpus(n))), "doc_id long, text string").repartition(8)
+        finder = nd._Finder(docs, "doc_id", "text", 2, 80)
+        made[n] = finder.rare_pairs(finder.signed.select("doc_id", finder.signed["doc_id"].alias("part"))).distinct().count()
+    assert made == {1000: 10, 5000: 10}  # no pair that shares the passage alone
+    got = {r.doc_id: r.component_id for r in nd.near_duplicates(docs, shingle_words=2).collect()}
+    assert got == {i: i - 4990 if i >= 4990 else i for i in range(5000)}
+
+
+@pytest.mark.parametrize("percent", [50, 80])
+def test_rare_pairs_lose_no_link(spark, percent):
+    rows = list(enumerate(corpus(percent, 160)))
+    finder = nd._Finder(spark.createDataFrame(rows, "doc_id long, text string"), "doc_id", "text", 2, percent)
+    found = {tuple(r) for r in finder.rare_pairs(finder.signed.select("doc_id", finder.signed["doc_id"].alias("part"))).collect()}
+    sets = {i: shingle_set(t, 2) for i, t in rows}
+    standing = {r.doc_id for r in finder.signed.collect()}
+    linked = {(i, j) for i in standing for j in standing if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
+    assert len(linked) > 20 and linked <= found
