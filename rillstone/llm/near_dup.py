@@ -128,7 +128,7 @@ class _Finder:
         sketched = self.docs.select("doc_id", _sketch(size)("text").alias("s")).select("doc_id", "s.*")
         self.sketched = materialize(sketched, "sketches")
         known = self.sketched.where("n_shingles > 0 and doc_id is not null")
-        self.classes = known.groupBy("digest").agg(F.min("doc_id").alias("first"))
+        self.classes = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("first")), "classes")  # a digest may stand for a third of all rows
         one = known.join(self.classes.withColumnRenamed("first", "doc_id"), ["digest", "doc_id"], "left_semi")
         self.signed = materialize(one.select("doc_id", "signature"), "signatures")
 
@@ -216,7 +216,7 @@ class _Finder:
         parts = connected_components(first)
         second = self.rest(members, parts)
         parts = materialize(connected_components(first.union(second)), "components")
-        classes = self.classes.join(parts, F.col("first") == F.col("node"), "left").select("digest", F.coalesce("component", "first").alias("component"))
+        classes = materialize(self.classes.join(parts, F.col("first") == F.col("node"), "left").select("digest", F.coalesce("component", "first").alias("component")), "classes")
         slim = self.sketched.select("doc_id", "n_shingles", "digest")
         found = slim.join(classes, "digest", "left")
         alone = F.col("digest").isNull()
