@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable
 from dataclasses import dataclass
 from difflib import SequenceMatcher
 
@@ -36,19 +38,22 @@ def sequence_ratio(a: Column, b: Column) -> Column:
     return F.pandas_udf(_ratios, "double")(a, b)
 
 
-def with_title_score(pairs: DataFrame, a: str, b: str, tokens_a: str, tokens_b: str, exact: bool = True) -> DataFrame:
+def _larger(a: pd.Series, b: pd.Series, overlap: pd.Series) -> pd.Series:
+    return pd.Series([round(max(0.5 * r, j), 4) for r, j in zip(_ratios(a, b), overlap, strict=True)], dtype="float64")
+
+
+def with_title_score(pairs: DataFrame, a: str, b: str, tokens_a: str, tokens_b: str) -> DataFrame:
     """``pairs`` with ``title_similarity``: the larger of half the sequence ratio and the word overlap, 4 decimals.
 
-    A sequence ratio is at most 2 min / (min + max) of the lengths. Pairs that this bound decides never reach Python.
+    A sequence ratio is at most 2 min / (min + max) of the lengths; the titles of pairs that this bound decides are not
+    sent to Python, where only their overlap is rounded (by its binary value, as decimals of a ratio are).
     """
-    base = pairs.withColumn("__j", jaccard(F.col(tokens_a), F.col(tokens_b)))
-    if not exact:
-        return base.withColumn("title_similarity", F.round("__j", 4)).drop("__j")
     la, lb = F.length(a), F.length(b)
-    most = F.when((la > 0) & (lb > 0), F.least(la, lb).cast("double") / (la + lb)).otherwise(F.lit(0.0))
-    decided = base.where(most <= F.col("__j")).withColumn("title_similarity", F.round("__j", 4))
-    open_ = base.where(most > F.col("__j")).withColumn("title_similarity", F.round(F.greatest(0.5 * sequence_ratio(F.col(a), F.col(b)), F.col("__j")), 4))
-    return decided.unionByName(open_).drop("__j")
+    overlap = F.col("__overlap")
+    open_ = F.least(la, lb).cast("double") / F.nullif(la + lb, F.lit(0)) > overlap
+    larger = F.pandas_udf(_larger, "double")
+    base = pairs.withColumn("__overlap", jaccard(F.col(tokens_a), F.col(tokens_b)))
+    return base.withColumn("title_similarity", larger(F.when(open_, F.col(a)), F.when(open_, F.col(b)), overlap)).drop("__overlap")
 
 
 @dataclass(frozen=True)
@@ -77,10 +82,16 @@ def year_points(delta: Column, w: Weights = WEIGHTS) -> Column:
     return F.when(delta == 0, w.same_year).when(delta.between(1, 2), w.near_years).when(delta.between(3, w.horizon), w.far_years).otherwise(F.lit(0.0))
 
 
+def _by_similarity(of: Callable[[float], float | str], kind: str, similarity: Column) -> Column:
+    """A function of the 10,001 similarities of four decimals, computed once on the driver: decimals round by binary value."""
+    table = F.from_json(F.lit(json.dumps([of(n / 10_000) for n in range(10_001)])), f"array<{kind}>")  # folded when planned
+    return F.get(table, F.round(similarity * 10_000).cast("int"))
+
+
 def candidate_score(delta: Column, ri: Column, scopus: Column, wos: Column, similarity: Column, w: Weights = WEIGHTS) -> Column:
     """Sum of all points, two decimals."""
     part = lambda flag, points: F.when(flag, F.lit(points)).otherwise(F.lit(0.0))
-    title = F.floor((F.lit(w.title) * F.round(similarity * 10000) + 50) / 100).cast("double") / 100  # two decimals, halves up
+    title = _by_similarity(lambda s: round(s * w.title, 2), "double", similarity)
     return F.round(F.lit(w.base) + year_points(delta, w) + part(ri, w.repository) + part(scopus, w.scopus) + part(wos, w.wos) + title, 2)
 
 
@@ -91,8 +102,7 @@ def confidence(score: Column, w: Weights = WEIGHTS) -> Column:
 
 def evidence(delta: Column, ri: Column, scopus: Column, wos: Column, similarity: Column, w: Weights = WEIGHTS) -> Column:
     """The reasons of a score in order, joined by ' | '."""
-    hundredths = F.floor((F.round(similarity * 10000) + 50) / 100).cast("int")
-    shown = F.format_string("similitud_tematica_%d.%02d", (hundredths / 100).cast("int"), hundredths % 100)
+    shown = F.concat(F.lit("similitud_tematica_"), _by_similarity(lambda s: f"{s:.2f}", "string", similarity))
     return F.concat_ws(
         " | ",
         F.lit("responsable_autor"),

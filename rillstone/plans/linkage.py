@@ -281,7 +281,7 @@ def identifier_coverage(spark, d):
 
 @_query
 def partial_containment(spark, d):
-    probes = _t(spark, d, "benchmark").select(F.substring("text", 1, 12).alias("probe"))
+    probes = _t(spark, d, "benchmark").select(F.col("text").alias("probe"))
     masters = _t(spark, d, "documents").select(F.col("text").alias("master"), F.col("doc_id").alias("seq"))
     return ln.containment(probes, masters, "probe", "master", "seq").select("probe", F.col("seq").alias("doc_id"))
 
@@ -404,5 +404,7 @@ def title_scores(spark, d):
 
 @_query
 def sequence_ratios(spark, d):
-    names = _t(spark, d, "part").select("p_name").distinct()
-    return names.join(names.select(F.col("p_name").alias("other")), F.substring("p_name", 1, 3) == F.substring("other", 1, 3)).select("p_name", "other", sequence_ratio(F.col("p_name"), F.col("other")).alias("ratio"))
+    """Names of every hundredth part against all names."""
+    part = _t(spark, d, "part")
+    asked = part.where("p_partkey % 100 = 0").select("p_name").distinct()
+    return asked.crossJoin(part.select(F.col("p_name").alias("other")).distinct()).select("p_name", "other", sequence_ratio(F.col("p_name"), F.col("other")).alias("ratio"))

@@ -55,6 +55,6 @@ def test_run(spark, tmp_path):
     assert set(links) == {(1, "Open data rivers"), (1, "Undated")}
     assert links[1, "Open data rivers"].score == 130.0 and links[1, "Undated"].year_delta is None and links[1, "Undated"].coordinator_orcid == "0000-1"
     quality = {r.level: (r.candidates, r.truth, r.matched) for r in out["link_quality"].collect()}
-    assert quality == {"overall": (2, 1, 1), "high": (1, 1, 1), "medium": (0, 1, 0), "high_medium": (1, 1, 1)}
+    assert quality == {"overall": (2, 1, 1), "high": (1, 1, 1), "medium": (1, 1, 0), "high_medium": (2, 1, 1)}
     run.write(out, str(tmp_path))
     assert (tmp_path / "report.md").read_text().startswith("# Links") and "link_quality" in json.loads((tmp_path / "summary.json").read_text())

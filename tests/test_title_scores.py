@@ -2,7 +2,6 @@
 
 from collections import Counter
 from difflib import SequenceMatcher
-from fractions import Fraction
 from statistics import mean, median, stdev
 
 import duckdb
@@ -12,7 +11,7 @@ from rillstone.functions.text import STOPWORDS
 from rillstone.operators import linkage as ln
 from rillstone.plans import run
 from rillstone.plans.linkage import QUERIES
-from rillstone.plans.linkage_sql import _CANDIDATES, _DECLARED, _norm
+from rillstone.plans.linkage_sql import _DECLARED, _PAIRS
 from tests.test_run import tables
 
 DATA = "/root/testdata/sf0.001"
@@ -23,19 +22,18 @@ def words(title):
 
 
 def similarity(a, b):
-    """In ten-thousandths, halves up: the larger of half the sequence ratio and the word overlap."""
-    matched = sum(m.size for m in SequenceMatcher(None, a, b).get_matching_blocks()) if a and b else 0
+    """The larger of half the sequence ratio and the word overlap."""
     one, two = words(a), words(b)
-    best = max(Fraction(matched, max(len(a) + len(b), 1)), Fraction(len(one & two), len(one | two)) if one and two else Fraction(0))
-    return int(best * 10000 + Fraction(1, 2))
+    overlap = len(one & two) / len(one | two) if one and two else 0.0
+    return round(max(0.5 * SequenceMatcher(None, a, b).ratio() if a and b else 0.0, overlap), 4)
 
 
 def scored(delta, ri, scopus, wos, sim):
     years = 0 if delta is None else 20 if delta == 0 else 18 if delta <= 2 else 12
     reasons = ["responsable_autor", *([] if delta is None else ["publicado_mismo_anio" if delta == 0 else "publicado_1_2_anios_despues" if delta <= 2 else "publicado_3_5_anios_despues"])]
     reasons += [n for f, n in ((ri, "fuente_RI"), (scopus, "fuente_SCOPUS"), (wos, "fuente_WOS")) if f]
-    reasons += [f"similitud_tematica_{(sim + 50) // 100 / 100:.2f}"] if sim >= 2000 else []
-    score = round(50 + years + 15 * ri + 10 * scopus + 10 * wos + (25 * sim + 50) // 100 / 100, 2)
+    reasons += [f"similitud_tematica_{sim:.2f}"] if sim >= 0.2 else []
+    score = round(50 + years + 15 * ri + 10 * scopus + 10 * wos + round(25 * sim, 2), 2)
     return score, "Alta" if score >= 85 else "Media" if score >= 65 else "Baja", " | ".join(reasons)
 
 
@@ -45,9 +43,8 @@ def wanted():
     con = duckdb.connect()
     for t in "customer part orders lineitem".split():
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
-    pairs = con.sql(f"""WITH {_CANDIDATES}, t AS (SELECT l_orderkey, {_norm("array_to_string(list_sort(list(DISTINCT p_name)), ' ')")} AS title FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1)
-        SELECT project_id, publication_id, coalesce(a.title, ''), coalesce(b.title, ''), year_delta, ri, scopus, wos FROM j LEFT JOIN t AS a ON a.l_orderkey = project_id LEFT JOIN t AS b ON b.l_orderkey = publication_id""").fetchall()
-    found = {(p, q): ((sim := similarity(a, b)) / 10000, *scored(delta, ri, scopus, wos, sim)) for p, q, a, b, delta, ri, scopus, wos in pairs}
+    pairs = con.sql(f"WITH {_PAIRS} SELECT project_id, publication_id, ta, tb, year_delta, ri, scopus, wos FROM j").fetchall()
+    found = {(p, q): ((sim := similarity(a, b)), *scored(delta, ri, scopus, wos, sim)) for p, q, a, b, delta, ri, scopus, wos in pairs}
     return found, set(con.sql(f"WITH {_DECLARED} SELECT * FROM declared").fetchall())
 
 
@@ -74,7 +71,7 @@ def test_titles_without_common_words(spark):
     authored = spark.createDataFrame([("ANA", "Ana", 1, 10, 2010, "RIVERS ECOLOGY", ["RIVERS", "ECOLOGY"], False, False, False)], "author_name_norm string, author_name_raw string, auth_seq int, publication_id int, publication_year int, publication_title_norm string, publication_tokens array<string>, ri boolean, scopus boolean, wos boolean")
     sim = similarity("RIVER ECOLOGIES", "RIVERS ECOLOGY")
     r = ln.candidate_links(projects, authored).first()
-    assert sim > 4000 and (r.title_similarity, r.score) == (sim / 10000, scored(0, 0, 0, 0, sim)[0])
+    assert sim > 0.4 and (r.title_similarity, r.score) == (sim, scored(0, 0, 0, 0, sim)[0])
     with pytest.raises(ValueError):
         ln.candidate_links(projects.drop("project_title_norm"), authored)
 
@@ -83,4 +80,4 @@ def test_the_whole_run_compares_titles(spark):
     links = run.build(tables(spark))["project_publication_candidates"]
     assert {"project_title", "publication_title"} <= set(links.columns) and not {"project_title_norm", "publication_title_norm"} & set(links.columns)
     undated = links.where("publication_title = 'Undated'").first()
-    assert undated.title_similarity == similarity(undated.project_title.upper(), "UNDATED") / 10000 > 0
+    assert undated.title_similarity == similarity(undated.project_title.upper(), "UNDATED") > 0
