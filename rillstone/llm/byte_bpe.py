@@ -19,9 +19,10 @@ from tokenizers import Tokenizer
 #: The pre-tokenizer's pattern of the vocabulary file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: White space of this length is not for tiktoken's pattern search: its time grows with the square, and from about 600,000 characters on it fails.
-LONG_SPACE = 512
-_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE}}}")
+#: White space of this length is not for tiktoken's pattern search: its time grows with the square, and from about
+#: 600,000 characters on it fails. Every STEP-th character tells whether there may be such a run.
+LONG_SPACE, STEP = 512, 64
+_LONG_SPACE = re.compile(rf"\s{{{LONG_SPACE // STEP}}}")
 
 
 def _byte_letters() -> dict[str, int]:
@@ -54,7 +55,7 @@ class ByteBpe:
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text (uint32); special strings give their ids."""
-        if len(text) >= LONG_SPACE and _LONG_SPACE.search(text):
+        if _LONG_SPACE.search(text[::STEP]):
             if self._library is None:
                 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task has one core
                 self._library = Tokenizer.from_file(self.path)
