@@ -5,7 +5,9 @@ it, and the chain's transitions tie neighbours together. The forward-backward re
 of being good; their mean weighted by line length, put through a fitted logistic curve, is the document's score.
 
 Training: lines of a labelled document carry its label. At most ``TRAIN_DOCS`` labelled documents are used, those of
-smallest hash, and at most ``TRAIN_LINES`` lines of each: both bound what the driver gathers. Scoring reads whole texts.
+smallest hash, and of these as many as have ``TRAIN_LINES`` lines together (the first always): both bound what the
+driver gathers. Each of them is used with all its lines; for the gradient long chains are cut every ``SEGMENT`` lines,
+so that only the transition over a cut isn't learned from. Scoring reads whole texts as whole chains.
 
 Results: one score per row. A text without a line (null, empty, blank) scores as the trained share of good documents.
 Labels that are null or not 0 or 1 are left out, repeated labels count as often as they stand. Without labels of both
@@ -22,10 +24,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bound_batches
+from rillstone.llm.common import bound_batches, materialize
 from rillstone.llm.words import SPACED, mix, slices, span_hashes
 
-TRAIN_DOCS, TRAIN_LINES, SEGMENT = 2000, 256, 64
+TRAIN_DOCS, TRAIN_LINES, SEGMENT = 2000, 300_000, 64
 #: A line's own features, in order; the last COPIED also stand for the line before and the line after.
 OWN = ("one", "log_length", "word_length", "digits", "bytes_beyond_ascii", "upper", "marks", "bars", "repeated_words", "repeated_line")
 COPIED = 5
@@ -193,27 +195,32 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string")) % 3 == 1, F.lit(False))
 
 
-def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS) -> Crf:
-    """Fit on at most ``most`` labelled documents that are not held out."""
+def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", most: int = TRAIN_DOCS, most_lines: int = TRAIN_LINES) -> Crf:
+    """Fit on at most ``most`` labelled documents that are not held out, of at most ``most_lines`` lines together."""
     bound_batches(docs.sparkSession)
     usable = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~held_out(id_col)).select(F.col(id_col).alias("__id"), F.col(label_col).cast("int").alias("__label"))
     sample = usable.orderBy(F.xxhash64("__id"), "__id", "__label").limit(most)
 
-    @F.arrow_udf("features binary, sizes binary")
+    @F.arrow_udf("n long, features binary, sizes binary")
     def describe(texts: pa.Array) -> pa.Array:
-        x, sizes = [], []
+        n, x, sizes = [], [], []
         for data, offsets in slices(texts):
             f, size, first = line_features(data, offsets)
             for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
-                x.append(f[a : min(b, a + TRAIN_LINES)].tobytes())
-                sizes.append(size[a : min(b, a + TRAIN_LINES)].astype(np.int64).tobytes())
-        return pa.StructArray.from_arrays([pa.array(x, pa.binary()), pa.array(sizes, pa.binary())], names=["features", "sizes"])
+                n.append(b - a)
+                x.append(f[a:b].tobytes())
+                sizes.append(size[a:b].astype(np.int64).tobytes())
+        return pa.StructArray.from_arrays([pa.array(n, pa.int64()), pa.array(x, pa.binary()), pa.array(sizes, pa.binary())], names=["n", "features", "sizes"])
 
     # the sample has at most ``most`` rows of a few bytes
     joined = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(text_col), F.lit("")).alias("__text")).join(F.broadcast(sample), "__id")
-    rows = joined.select("__id", "__label", describe("__text").alias("d")).orderBy(F.xxhash64("__id"), "__id", "__label").limit(most).collect()
-    chains = [np.frombuffer(bytes(r["d"]["features"]), np.float32).reshape(-1, WIDTH) for r in rows]
-    sizes = [np.frombuffer(bytes(r["d"]["sizes"]), np.int64) for r in rows]
+    described = materialize(joined.select("__id", "__label", describe("__text").alias("d")).select("__id", "__label", "d.*"), "training")
+    order = [F.xxhash64("__id"), "__id", "__label", "n", "features"]
+    sizes = described.select("__id", "__label", "n").orderBy(*order).limit(most).collect()
+    used = max(1, int(np.searchsorted(np.cumsum([r["n"] for r in sizes]), most_lines, "right")))
+    rows = described.orderBy(*order).limit(min(used, len(sizes))).collect()
+    chains = [np.frombuffer(bytes(r["features"]), np.float32).reshape(-1, WIDTH) for r in rows]
+    sizes = [np.frombuffer(bytes(r["sizes"]), np.int64) for r in rows]
     return fit(chains, sizes, np.array([r["__label"] for r in rows], np.int64))
 
 
