@@ -9,7 +9,10 @@ count of the path's text.
 
 A space after another character resets the transducer, since no piece spans such a place. So the state map of a chunk
 is short: text before the first reset still waits for the entry state; all after it is a count and an exit state that
-hold for every entry. Maps compose associatively; ``scan`` folds a text's chunk maps as a balanced prefix scan.
+hold for every entry. Maps compose associatively; ``scan`` gives all prefixes of a text's chunk maps by a parallel
+prefix scan (each level composes neighbours that don't depend on each other), thus the count up to every chunk's end.
+
+The table of states is bounded: a full one is emptied, also within a text, as maps hold states by their keys.
 
 Results: one row per input row. A null text counts as empty: 0 bytes, 0 tokens. Repeated rows give repeated results,
 an empty table an empty result, other columns of the input are ignored.
@@ -18,7 +21,7 @@ an empty table an empty result, other columns of the input are ignored.
 from __future__ import annotations
 
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import pyarrow as pa
@@ -30,7 +33,7 @@ from rillstone.llm.common import bound_batches
 SPACE = "▁"
 CHUNK_CHARS = 1 << 16
 #: Entries of the per-worker caches (segment counts, states). They bound memory; results do not depend on them.
-MEMO_ENTRIES = 300_000
+MEMO_ENTRIES, MEMO_CHARS = 300_000, 64
 STATE_ENTRIES = 300_000
 
 
@@ -99,8 +102,9 @@ class Transducer:
     times 1024 plus the change of the count plus 512.
     """
 
-    START = 0
     _NONE, _CHARACTER = (1 << 23) - 1, 1 << 21
+    #: Key of the state before any text; its number is 0.
+    START = array("Q", [_NONE << 12 | 2048]).tobytes()
 
     def __init__(self, ranks: dict[str, int]) -> None:
         if max(map(len, ranks)) > 200 or len(ranks) >= self._CHARACTER:
@@ -131,11 +135,23 @@ class Transducer:
         self.text.append(p)
 
     def _reset(self) -> None:
-        start = array("Q", [self._NONE << 12 | 2048]).tobytes()
-        self.states: list[bytes] = [start]
-        self.index = {start: 0}
-        self.next: list[dict[str, int]] = [{}]
-        self.spaced = [True]
+        self.states: list[bytes] = []
+        self.index: dict[bytes, int] = {}
+        self.next: list[dict[str, int]] = []
+        self.spaced: list[bool] = []
+        self.enter(self.START)
+
+    def enter(self, key: bytes) -> int:
+        """The number of the state with this key."""
+        q = self.index.get(key)
+        if q is None:
+            last = array("Q", key[-8:])[0] >> 12 & 0x7FFFFF
+            ends = SPACE if last == self._NONE else self.text[last][-1] if last < self._CHARACTER else chr(last - self._CHARACTER)
+            q = self.index[key] = len(self.states)
+            self.states.append(key)
+            self.next.append({})
+            self.spaced.append(ends == SPACE)
+        return q
 
     def merges(self, p: str) -> tuple | None:
         """Merges that build ``p`` alone, in order: (rank, last symbol then, first symbol then); None if they don't."""
@@ -198,14 +214,7 @@ class Transducer:
             found, count = self._CHARACTER + ord(c), (entries[-1] & 4095) - 2048 + len(c.encode())
         key = array("Q", [child << 35 | last << 12 | rel - count + 2048 for child, last, rel in live])
         key.append(found << 12 | 2048)
-        state = key.tobytes()
-        to = self.index.get(state)
-        if to is None:
-            to = self.index[state] = len(self.states)
-            self.states.append(state)
-            self.next.append({})
-            self.spaced.append(c == SPACE)
-        self.next[q][c] = step = to << 10 | count + 512
+        self.next[q][c] = step = self.enter(key.tobytes()) << 10 | count + 512
         return step
 
     def run(self, q: int, text: str) -> tuple[int, int]:
@@ -217,10 +226,16 @@ class Transducer:
             n += step & 1023
         return q, n
 
-    def trim(self) -> None:
-        """Forget all states if there are too many; only between texts, when no state is held."""
-        if len(self.states) > STATE_ENTRIES:
-            self._reset()
+    def follow(self, key: bytes, parts: Iterable[str]) -> tuple[bytes, int]:
+        """Key of the exit state and count of the parts of a text (spaces as SPACE), from the state of ``key``."""
+        n = 0
+        for part in parts:
+            for i in range(0, len(part), CHUNK_CHARS):
+                if len(self.states) > STATE_ENTRIES:
+                    self._reset()
+                q, k = self.run(self.enter(key), part[i : i + CHUNK_CHARS])
+                key, n = self.states[q], n + k
+        return key, n
 
 
 class _Counts(dict):
@@ -231,67 +246,78 @@ class _Counts(dict):
         self.transducer = transducer
 
     def __missing__(self, word: str) -> int:
-        n = self.transducer.run(Transducer.START, SPACE + word)[1]
-        if len(self) < MEMO_ENTRIES:
+        n = self.transducer.follow(Transducer.START, [SPACE, word])[1]
+        if len(self) < MEMO_ENTRIES and len(word) <= MEMO_CHARS:
             self[word] = n
         return n
 
 
+#: A chunk's map: parts of the text that wait for the entry state, the count after them, the exit state's key (None: no
+#: reset inside, all text waits).
+Map = tuple[tuple[str, ...], int, bytes | None]
+
+
 class Counter:
-    """Token counts of texts by chunk state maps (head, count, exit state); exit None: no reset inside."""
+    """Token counts of texts by chunk state maps."""
 
     def __init__(self, ranks: dict[str, int], chunk_chars: int = CHUNK_CHARS) -> None:
         self.transducer, self.chunk_chars = Transducer(ranks), chunk_chars
         self.counts = _Counts(self.transducer)
 
-    def chunk_map(self, chunk: str) -> tuple[str, int, int | None]:
+    def chunk_map(self, chunk: str) -> Map:
         """The state map of a chunk in which spaces are ' '."""
         words = chunk.split(" ")
         first = 1
         while first < len(words) and not words[first - 1]:
             first += 1  # a reset needs a character other than a space before it
         if first >= len(words):
-            return chunk, 0, None
-        head, middle, get = " ".join(words[:first]), words[first:-1], self.counts.__getitem__
-        if "" not in middle:
-            n, tail = sum(map(get, middle)), words[-1]
-            state, k = self.transducer.run(Transducer.START, SPACE + tail)
-            return head, n + k, state
+            return (chunk.replace(" ", SPACE),), 0, None
+        head, middle, get = SPACE.join(words[:first]), words[first:-1], self.counts.__getitem__
+        follow, start = self.transducer.follow, Transducer.START
         n = spaces = 0
-        for w in middle:
-            if not w:
-                spaces += 1
-            elif spaces:
-                n += self.transducer.run(Transducer.START, SPACE * (spaces + 1) + w)[1]
-                spaces = 0
-            else:
-                n += get(w)
-        state, k = self.transducer.run(Transducer.START, SPACE * (spaces + 1) + words[-1])
-        return head, n + k, state
-
-    def compose(self, a: tuple, b: tuple) -> tuple:
+        if "" not in middle:
+            n = sum(map(get, middle))
+        else:
+            for w in middle:
+                if not w:
+                    spaces += 1
+                elif spaces:
+                    n += follow(start, [SPACE * (spaces + 1), w])[1]
+                    spaces = 0
+                else:
+                    n += get(w)
+        key, k = follow(start, [SPACE * (spaces + 1), words[-1]])
+        return (head,), n + k, key
+
+    def compose(self, a: Map, b: Map) -> Map:
         """The map of a's chunk followed by b's."""
         if a[2] is None:
-            if b[2] is None:
-                return self.chunk_map(a[0] + b[0])
-            head, n, state = self.chunk_map(a[0] + b[0])
-            return (head, b[1], b[2]) if state is None else (head, n + b[1], b[2])
-        state, n = self.transducer.run(a[2], b[0].replace(" ", SPACE))
-        return (a[0], a[1] + n, state) if b[2] is None else (a[0], a[1] + n + b[1], b[2])
-
-    def scan(self, maps: list[tuple]) -> tuple:
-        """The composition of all maps, level by level."""
-        while len(maps) > 1:
-            maps = [self.compose(*maps[i : i + 2]) if i + 1 < len(maps) else maps[i] for i in range(0, len(maps), 2)]
-        return maps[0]
+            return a[0] + b[0], b[1], b[2]
+        key, n = self.transducer.follow(a[2], b[0])
+        return a[0], a[1] + n + b[1], key if b[2] is None else b[2]
+
+    def scan(self, maps: list[Map]) -> list[Map]:
+        """All prefixes' maps: those of pairs by the same rule, the others by one more composition each."""
+        if len(maps) == 1:
+            return maps
+        pairs = self.scan([self.compose(a, b) for a, b in zip(maps[::2], maps[1::2], strict=False)])
+        return [maps[0], *(pairs[i // 2] if i % 2 else self.compose(pairs[i // 2 - 1], maps[i]) for i in range(1, len(maps)))]
+
+    def prefixes(self, text: str) -> list[Map]:
+        """Maps of the text up to each chunk's end; a dummy space stands before it."""
+        text, step = " " + text.replace(SPACE, " "), self.chunk_chars
+        return self.scan([self.chunk_map(text[i : i + step]) for i in range(0, len(text), step)])
+
+    def total(self, whole: Map) -> int:
+        """Count of a text whose map begins at its start."""
+        return self.transducer.follow(Transducer.START, whole[0])[1] + whole[1]
 
     def count(self, text: str) -> int:
-        if not text:
-            return 0
-        self.transducer.trim()
-        text, step = " " + text.replace(SPACE, " "), self.chunk_chars
-        head, n, _ = self.scan([self.chunk_map(text[i : i + step]) for i in range(0, len(text), step)])
-        return self.transducer.run(Transducer.START, head.replace(" ", SPACE))[1] + n
+        return self.total(self.prefixes(text)[-1]) if text else 0
+
+    def counts_at_chunks(self, text: str) -> list[int]:
+        """Counts of the text up to the end of each chunk, as if it ended there."""
+        return [self.total(p) for p in self.prefixes(text)] if text else []
 
 
 @lru_cache(maxsize=2)

@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 
+from rillstone.llm import token_counts as tc
 from rillstone.llm.token_counts import Counter, read_pieces, token_counts
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -31,6 +32,24 @@ def test_maps_compose_associatively():
     assert counter.compose(counter.compose(a, b), c) == counter.compose(a, counter.compose(b, c))
 
 
+def test_prefix_counts(library):
+    pick = random.Random(4)
+    for step in (1, 5, 64):
+        counter = Counter(read_pieces(MODEL), step)
+        for text in ["".join(pick.choice(["a", "b", " ", "  ", "\n", "the", "ing ", "é"]) for _ in range(n)) for n in (1, 40, 150)] + ["x" * 70]:
+            ends = [min(i + step, len(text) + 1) - 1 for i in range(0, len(text) + 1, step)]  # the first chunk holds the dummy space
+            assert [c for c, e in zip(counter.counts_at_chunks(text), ends, strict=True) if e] == [len(library.encode(text[:e])) for e in ends if e]
+
+
+def test_states_are_bounded_within_a_text(library, monkeypatch):
+    monkeypatch.setattr(tc, "STATE_ENTRIES", 500)
+    monkeypatch.setattr(tc, "CHUNK_CHARS", 100)
+    pick = random.Random(9)
+    text = "".join(pick.choices("abcdefghijklmnopqrstuvwxyz", k=20_000))
+    counter = Counter(read_pieces(MODEL), 100)
+    assert counter.count(text) == len(library.encode(text)) and len(counter.transducer.states) <= 601
+
+
 def test_rows_nulls_clashes_and_empty_tables(spark, library):
     rows = [(1, None, 7), (2, "hello world", 8), (2, "hello world", 8), (None, "é", 9), (3, "x " * 5000, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_tokens int")
