@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillstone.storage import materialize
+
 
 def number_rows(df: DataFrame, name: str, *order: Column | str, start: int = 1) -> DataFrame:
     """``df`` with ``name``: start, start + 1, ... in ``order``.
 
     Rows are dealt out by ranges of the order; each range counts its own rows, and the ranges' sums (one row each) shift
-    them. Ties get numbers in any order, so ``order`` should tell rows apart.
+    them. Ties get numbers in any order, so ``order`` should tell rows apart. The ranges are written to the shared
+    folder, since both readers must see the same ones, also after an executor was lost.
     """
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    placed = ranged.withColumn("__at", F.monotonically_increasing_id()).persist(StorageLevel.DISK_ONLY)  # both readers must see the same ranges
+    placed = materialize(ranged.withColumn("__at", F.monotonically_increasing_id()), "numbered")
     part = F.shiftright("__at", 33)
     sums = placed.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
     before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
