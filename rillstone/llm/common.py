@@ -1,69 +1,19 @@
-"""Helpers shared by the training-data operators: the shared folder, lineage cuts and column checks."""
+"""Helpers shared by the training-data operators: the shared folder and the size of Arrow batches."""
 
 from __future__ import annotations
 
-import atexit
-import tempfile
-import uuid
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+from rillstone.storage import discard, materialize, new_folder, remove, shared_dir
+
+__all__ = ["BATCH_ROWS", "bound_batches", "discard", "materialize", "new_folder", "remove", "shared_dir"]
 
 #: Rows of an Arrow batch at most: rows hold whole texts, and a batch lies in memory several times on its way.
 BATCH_ROWS = 2000
 
-_made: list[tuple[SparkSession, str]] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """Folder that the driver and all executors see: ``spark.checkpoint.dir``.
-
-    Only where the session has none (tests, a laptop) one is made and set.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="rillstone-")
-        spark.conf.set("spark.checkpoint.dir", base)
-        _made.append((spark, base))
-    return base.rstrip("/")
-
 
 def bound_batches(spark: SparkSession) -> None:
     """Lower the session's Arrow batches to BATCH_ROWS; smaller ones stay."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
         spark.conf.set(name, str(BATCH_ROWS))
-
-
-def new_folder(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder; removed when the driver ends."""
-    path = f"{shared_dir(spark)}/rillstone/{name}-{uuid.uuid4().hex}"
-    _made.append((spark, path))
-    return path
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it back: the lineage ends there.
-
-    A lost executor costs a reread of files and never a second run of the plan above.
-    """
-    spark = df.sparkSession
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder through Hadoop's file systems."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-@atexit.register
-def _clean() -> None:
-    for spark, path in reversed(_made):
-        try:
-            if spark.sparkContext._jsc is not None:
-                remove(spark, path)
-        except Exception:  # noqa: BLE001  the JVM may be gone at exit; nothing is left to do then
-            return

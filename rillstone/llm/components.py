@@ -33,7 +33,7 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     now = materialize(edges.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(high.alias("u"), low.alias("v")).where("u > v").distinct(), "edges")
     seen = None
     while True:
-        now = materialize(_star(_star(now, small=False), small=True), "edges")
+        now = materialize(_star(_star(now, small=False), small=True), "edges", instead=now)
         sums = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sums == seen:
             return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

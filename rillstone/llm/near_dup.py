@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bound_batches, materialize
+from rillstone.llm.common import bound_batches, discard, materialize
 from rillstone.llm.components import connected_components
 from rillstone.llm.words import SPACED, shingles, slices, words
 
@@ -126,18 +126,24 @@ class _Finder:
         self.docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         self.kind = self.docs.schema["doc_id"].dataType.simpleString()
         sketched = self.docs.select("doc_id", _sketch(size)("text").alias("s")).select("doc_id", "s.*")
+        self.spent: list[DataFrame] = []
         self.sketched = materialize(sketched, "sketches")
         known = self.sketched.where("n_shingles > 0 and doc_id is not null")
-        self.classes = materialize(known.groupBy("digest").agg(F.min("doc_id").alias("first")), "classes")  # a digest may stand for a third of all rows
+        self.classes = self.write(known.groupBy("digest").agg(F.min("doc_id").alias("first")), "classes")  # a digest may stand for a third of all rows
         one = known.join(self.classes.withColumnRenamed("first", "doc_id"), ["digest", "doc_id"], "left_semi")
-        self.signed = materialize(one.select("doc_id", "signature"), "signatures")
+        self.signed = self.write(one.select("doc_id", "signature"), "signatures")
+
+    def write(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` written until the run ends."""
+        self.spent.append(materialize(df, name))
+        return self.spent[-1]
 
     def members(self) -> DataFrame:
         """``bucket, hub, doc_id`` of all buckets with two documents or more; the hub is the smallest."""
         keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * 4 * ROWS + 1, F.lit(4 * ROWS))))
         rows = self.signed.select("doc_id", F.explode(keys).alias("bucket"))
         hubs = rows.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").drop("last")
-        return materialize(rows.join(hubs, "bucket"), "buckets")
+        return self.write(rows.join(hubs, "bucket"), "buckets")
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that their signatures do not rule out."""
@@ -160,20 +166,20 @@ class _Finder:
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """The likely pairs whose full sets reach the threshold."""
-        likely = materialize(pairs, "likely")
-        sets = materialize(self.sets(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()), "sets")
+        likely = self.write(pairs, "likely")
+        sets = self.write(self.sets(likely.select(F.col("a").alias("doc_id")).union(likely.select("b")).distinct()), "sets")
         left = sets.select(F.col("doc_id").alias("a"), F.col("s").alias("sa"))
         right = sets.select(F.col("doc_id").alias("b"), F.col("s").alias("sb"))
         x, y, both = F.size("sa"), F.size("sb"), F.size(F.array_intersect("sa", "sb"))
         paired = likely.join(right, "b").join(left, "a").where(100 * F.least(x, y) >= self.percent * F.greatest(x, y))
         found = paired.where(100 * both >= self.percent * (x + y - both)).select("a", "b")
-        return materialize(found.distinct(), "links")
+        return self.write(found.distinct(), "links")
 
     def rest(self, members: DataFrame, parts: DataFrame) -> DataFrame:
         """Links between bucket members in different components, besides those with the hub."""
         labelled = members.where("doc_id > hub").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part"))
         mixed = labelled.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).where("low < high")
-        open_ = materialize(labelled.join(mixed.select("bucket", "n"), "bucket"), "open-buckets")
+        open_ = self.write(labelled.join(mixed.select("bucket", "n"), "bucket"), "open-buckets")
         small = open_.where(F.col("n") <= SMALL_BUCKET)
         other = small.select("bucket", F.col("doc_id").alias("b"), F.col("part").alias("other"))
         pairs = small.join(other, "bucket").where("doc_id < b and part != other").select(F.col("doc_id").alias("a"), "b")
@@ -189,7 +195,7 @@ class _Finder:
         documents outside the shingle's largest part meet all.
         """
         percent, n = F.lit(self.percent), F.col("n")
-        profiles = materialize(self.sets(dense.select("doc_id")).join(dense, "doc_id").select("doc_id", "part", F.size("s").cast("long").alias("n"), "s"), "dense-sets")
+        profiles = self.write(self.sets(dense.select("doc_id")).join(dense, "doc_id").select("doc_id", "part", F.size("s").cast("long").alias("n"), "s"), "dense-sets")
         single = profiles.select("doc_id", "part", "n", F.explode("s").alias("t"))
         often = single.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
         known = single.join(often, "t").groupBy("doc_id", "part", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("k"))  # those of one document come before them
@@ -198,9 +204,9 @@ class _Finder:
         near = n - F.ceil(2 * percent * n / (percent + 100)) + 1
         first = known.withColumn("alone", alone).withColumn("k", F.slice("k", 1, F.greatest(F.lit(0), reach - alone).cast("int")))
         first = first.select("doc_id", "part", "n", "alone", near.alias("near"), F.posexplode("k").alias("i", "x"))
-        first = materialize(first.select(F.col("x.t").alias("t"), "doc_id", "part", "n", (F.col("alone") + F.col("i")).alias("p"), (F.col("alone") + F.col("i") < F.col("near")).alias("early")), "rare-shingles")
+        first = self.write(first.select(F.col("x.t").alias("t"), "doc_id", "part", "n", (F.col("alone") + F.col("i")).alias("p"), (F.col("alone") + F.col("i") < F.col("near")).alias("early")), "rare-shingles")
         largest = first.groupBy("t", "part").agg(F.count("*").alias("c")).groupBy("t").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
-        mixed = materialize(first.join(largest, "t"), "mixed-shingles")
+        mixed = self.write(first.join(largest, "t"), "mixed-shingles")
         x = mixed.where("part != main").select("t", *(F.col(c).alias(f"x_{c}") for c in ("doc_id", "part", "n", "p", "early")))
         y = mixed.drop("main")
         smaller = F.col("x_n") < n
@@ -215,8 +221,10 @@ class _Finder:
         first = self.links(self.likely(members.where("doc_id > hub").select(F.col("hub").alias("a"), F.col("doc_id").alias("b")).distinct()))
         parts = connected_components(first)
         second = self.rest(members, parts)
-        parts = materialize(connected_components(first.union(second)), "components")
+        parts = connected_components(first.union(second))
         classes = materialize(self.classes.join(parts, F.col("first") == F.col("node"), "left").select("digest", F.coalesce("component", "first").alias("component")), "classes")
+        for written in self.spent:
+            discard(written)
         slim = self.sketched.select("doc_id", "n_shingles", "digest")
         found = slim.join(classes, "digest", "left")
         alone = F.col("digest").isNull()
