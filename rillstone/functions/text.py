@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import json
+import sys
 import unicodedata
 from collections.abc import Iterable
+from functools import cache
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,19 +18,26 @@ def _col(c: ColumnLike) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _folds() -> tuple[str, str]:
-    """Accented capitals of the Latin blocks and their base letters, by canonical decomposition."""
-    pairs = []
-    for code in range(0xC0, 0x250):
-        letter = chr(code)
-        parts = [c for c in unicodedata.normalize("NFKD", letter) if not unicodedata.combining(c)]
-        if letter.upper() == letter and len(parts) == 1 and parts[0] != letter and parts[0].isascii():
-            pairs.append((letter, parts[0]))
-    return "".join(a for a, _ in pairs), "".join(b for _, b in pairs)
+@cache
+def _folds() -> tuple[str, str, dict[str, str]]:
+    """Letters and digits behind characters beyond ASCII, by compatibility decomposition without combining marks.
+
+    Characters to replace (those without counterpart go) and their replacements, and characters that stand for several.
+    """
+    one, gone, many = [], [], {}
+    for code in range(0x80, sys.maxunicode + 1):
+        c = chr(code)
+        parts = [p for p in unicodedata.normalize("NFKD", c) if not unicodedata.combining(p)]
+        plain = "".join(p if p.isascii() and (p.isupper() or p.isdigit()) else " " for p in parts)
+        if not plain:
+            gone.append(c)
+        elif len(plain) == 1 and plain != " ":
+            one.append((c, plain))
+        elif plain.strip():
+            many[c] = plain
+    return "".join(c for c, _ in one) + "".join(gone), "".join(p for _, p in one), many
 
 
-#: Built by rule, so that accents fold without leaving the JVM.
-FOLD_FROM, FOLD_TO = _folds()
 #: Words of no weight in titles (Spanish and English).
 STOPWORDS = """
 de del la el los las y e en para por con sin un una unos unas the and of in on for to a an from via as at into
@@ -46,10 +56,17 @@ def blank_to_null(c: ColumnLike, placeholders: Iterable[str] = ("",)) -> Column:
 
 
 def normalize_text(c: ColumnLike) -> Column:
-    """Upper case without accents; all but A-Z, 0-9 becomes single spaces; null becomes ''."""
-    folded = F.translate(F.upper(F.coalesce(_col(c), F.lit(""))), FOLD_FROM, FOLD_TO)
-    bare = F.regexp_replace(folded, r"[̀-ͯ]", "")
-    return F.trim(F.regexp_replace(bare, "[^A-Z0-9]+", " "))
+    """Upper case without accents; all but A-Z, 0-9 becomes single spaces; null becomes ''.
+
+    Accents and other forms fold by a table built by rule, so that no text leaves the JVM. Characters that stand for
+    several (fractions, numbers in circles) are looked up one by one, in the texts that have any.
+    """
+    old, new, many = _folds()
+    upper = F.upper(F.coalesce(_col(c), F.lit("")))
+    table = F.from_json(F.lit(json.dumps(many)), "map<string,string>")
+    spelt = F.array_join(F.transform(F.split(upper, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    folded = F.translate(F.when(upper.rlike("[" + "".join(many) + "]"), spelt).otherwise(upper), old, new)
+    return F.trim(F.regexp_replace(folded, "[^A-Z0-9]+", " "))
 
 
 def normalize_doi(c: ColumnLike, wide: bool = False) -> Column:
@@ -78,9 +95,11 @@ def split_list(c: ColumnLike, sep: str = "|", drop: Iterable[str] = ()) -> Colum
     return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), f"[{sep}]"), strip), lambda x: ~x.isin(gone))
 
 
-def split_aligned(c: ColumnLike, sep: str = "|") -> Column:
-    """All stripped parts with '-' and blanks as '', so that positions match those of another list."""
-    return F.transform(F.split(F.coalesce(_col(c), F.lit("")), f"[{sep}]"), lambda x: F.when(strip(x).isin("-", ""), "").otherwise(strip(x)))
+def split_aligned(names: ColumnLike, ids: ColumnLike, sep: str = "|") -> tuple[Column, Column]:
+    """The non-blank parts of a list of names, and for each the part at its place in a list of ids; '-' and blanks there are ''."""
+    a, b = (F.transform(F.split(F.coalesce(_col(c), F.lit("")), f"[{sep}]"), strip) for c in (names, ids))
+    pairs = F.filter(F.transform(a, lambda x, i: F.struct(x.alias("a"), F.get(b, i).alias("b"))), lambda x: x["a"] != "")
+    return F.transform(pairs, lambda x: x["a"]), F.transform(pairs, lambda x: F.when(x["b"].isNull() | x["b"].isin("-", ""), "").otherwise(x["b"]))
 
 
 def at(array: Column, position: ColumnLike) -> Column:

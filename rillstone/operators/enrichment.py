@@ -114,3 +114,9 @@ def merge_abstracts(main: DataFrame, abstracts: DataFrame, key: str, other_key:
     base = main.drop(*present.values())
     merged = base.withColumn("__mine", tx.normalize_doi(F.col(key).cast("string"), wide=True)).join(one, F.col("__mine") == F.col("__key"), "left").drop("__mine", "__key")
     return merged.na.fill("", list(present.values()))
+
+
+def abstracts_matched(merged: DataFrame, columns: list[str]) -> DataFrame:
+    """One row: ``rows`` and ``matched``, those whose first merged column isn't blank."""
+    found = F.count_if(tx.strip(F.coalesce(F.col(columns[0]), F.lit(""))) != "") if columns else F.lit(0).cast("long")
+    return merged.agg(F.count("*").alias("rows"), found.alias("matched"))

@@ -77,7 +77,8 @@ def consolidate(records: DataFrame) -> DataFrame:
 
 def authorships(records: DataFrame, authors: str, ids: str, key: str = "master_key") -> DataFrame:
     """A row per author of each record: ``key``, source, author_order (from 1), raw and normalized name, id at the same place."""
-    split = records.select(key, "source", "seq", tx.split_list(authors).alias("a"), tx.split_aligned(ids).alias("i"))
+    names, places = tx.split_aligned(authors, ids)
+    split = records.select(key, "source", "seq", names.alias("a"), places.alias("i"))
     rows = split.select(key, "source", "seq", "i", F.posexplode("a").alias("p", "author_name_raw"))
     return rows.select(key, "source", "seq", (F.col("p") + 1).alias("author_order"), "author_name_raw", tx.normalize_text("author_name_raw").alias("author_name_norm"), tx.at(F.col("i"), "p").alias("external_author_id"))
 

@@ -11,7 +11,8 @@ from rillstone.functions.similarity import half_up_percent
 def value_counts(df: DataFrame, value: str) -> DataFrame:
     """``value`` (null: 'NA'), ``n``, ``pct`` of all rows."""
     counts = df.groupBy(F.coalesce(F.col(value).cast("string"), F.lit("NA")).alias("value")).agg(F.count("*").alias("n"))
-    return counts.withColumn("pct", half_up_percent(F.col("n"), F.sum("n").over(Window.partitionBy())))  # a row per value
+    total = counts.agg(F.sum("n").alias("__total"))  # one row
+    return counts.crossJoin(F.broadcast(total)).select("value", "n", half_up_percent(F.col("n"), F.col("__total")).alias("pct"))
 
 
 def top_values(df: DataFrame, value: str, k: int) -> DataFrame:

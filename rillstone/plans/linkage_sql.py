@@ -161,10 +161,10 @@ ORACLE_SQL: dict[str, str] = {
     "source_pivot_flags": """WITH c AS (SELECT l_orderkey, count(*) FILTER (l_returnflag = 'R') AS "RI", count(*) FILTER (l_returnflag = 'A') AS "SCOPUS", count(*) FILTER (l_returnflag = 'N') AS "WOS" FROM lineitem GROUP BY 1)
         SELECT *, "RI" > 0 AS "found_in_RI", "SCOPUS" > 0 AS "found_in_SCOPUS", "WOS" > 0 AS "found_in_WOS" FROM c""",
     "authorships_attach": f"""WITH {_RECORDS}, {_MASTERS},
-        w AS (SELECT seq, source, master_key, string_split(replace(text, ' ', '|'), '|') AS raw FROM records),
-        x AS (SELECT *, [v FOR v IN [{_strip('y')} FOR y IN raw] IF v <> ''] AS a, string_split(text, ' ') AS spaced FROM w JOIN (SELECT doc_id AS seq, text FROM documents) USING (seq)),
+        w AS (SELECT seq, source, master_key, string_split(replace(text, ' ', '|'), '|') AS raw, len(string_split(text, ' ')) AS ids FROM records),
+        x AS (SELECT *, [v FOR v IN [{{'r': r, 'v': {_strip('raw[r]')}}} FOR r IN range(1, len(raw) + 1)] IF v.v <> ''] AS a FROM w),
         e AS (SELECT *, unnest(range(1, len(a) + 1)) AS i FROM x)
-        SELECT publication_id, source, seq AS doc_id, CAST(i AS INTEGER) AS author_order, {_norm("a[i]")} AS author_name_norm, CASE WHEN i > len(spaced) OR (i - 1) % 3 = 0 THEN '' ELSE 'id' || (i - 1) END AS external_author_id
+        SELECT publication_id, source, seq AS doc_id, CAST(i AS INTEGER) AS author_order, {_norm("a[i].v")} AS author_name_norm, CASE WHEN a[i].r > ids OR (a[i].r - 1) % 3 = 0 THEN '' ELSE 'id' || (a[i].r - 1) END AS external_author_id
         FROM e JOIN pubs USING (master_key)""",
     "results_truth": _truth("exclude", 7),
     "results_truth_blank_match": _truth("match", 3001),

@@ -2,12 +2,14 @@
 
     python -m rillstone.plans.run --workbook in.xlsx --out folder
 
-One lazy plan per output; only the publications and authorships that several outputs share are kept.
+One lazy plan per output; persons, publications, authorships and candidates, which several outputs share, are written
+to the shared folder once.
 """
 
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +19,9 @@ from rillstone.functions import text as tx
 from rillstone.operators import enrichment as en
 from rillstone.operators import linkage as ln
 from rillstone.operators import metrics as mt
-from rillstone.sources import files, xlsx
+from rillstone.plans import reports
+from rillstone.sources import files, rest, xlsx
+from rillstone.storage import materialize, write_bytes
 
 #: Sheet of each table; others can be given.
 SHEETS = {"projects": "PROYECTOS", "persons": "ORCID", "repository": "Pubs_RI", "scopus": "Pubs_SCOPUS", "wos": "Pubs_WoS", "results": "PROY_RESULTADOS"}
@@ -63,7 +67,7 @@ def build(tables: dict[str, DataFrame], blank_keys: str = "exclude", limit: int
 
     seed = _pick(tables["persons"], {"Nombres": "name_original", "Código ORCID": "orcid", "dni": "dni"}).withColumnRenamed("row_index", "seq")
     repository = _pick(tables["repository"], {"idperson": "idperson", "nombre": "name_original", "doc": "dni", "doi": "doi", "titulo": "title", "año": "year", "medio_div": "journal", "key_words": "keywords"}).withColumnRenamed("row_index", "seq")
-    persons = ln.persons_master(seed, repository).cache()
+    persons = materialize(ln.persons_master(seed, repository), "persons")
     orcids = seed.select(tx.normalize_text("name_original").alias("name_norm"), tx.blank_to_null("orcid", ("", "nan", "-", "none")).alias("orcid"), "seq").where("orcid is not null")
     with_orcid = lambda df, name: ln.lookup_last(df, name, orcids, "name_norm", "orcid", "seq", F.lit("")).withColumnRenamed("orcid", "coordinator_orcid")
 
@@ -71,10 +75,10 @@ def build(tables: dict[str, DataFrame], blank_keys: str = "exclude", limit: int
     wos = _pick(tables["wos"], {"doi": "doi", "title": "title", "pub_year": "year", "source": "journal", "abstract": "abstract", "keywords": "k1", "keywords_plus": "k2"}).withColumnRenamed("row_index", "seq").withColumn("keywords", tx.join_keywords("k1", "k2"))
     streams = {"SCOPUS": scopus, "WOS": wos, "RI": repository}
     records = ln.source_records({s: d.withColumn("year", _year("year")) for s, d in streams.items()})
-    publications = ln.consolidate(records).cache()
+    publications = materialize(ln.consolidate(records), "publications")
     written = scopus.select("seq", "authors", "ids", F.lit("SCOPUS").alias("source")).unionByName(repository.select("seq", F.regexp_replace("name_original", "[|]", " ").alias("authors"), F.col("idperson").alias("ids"), F.lit("RI").alias("source")))
     authored = ln.authorships(records.join(written, ["source", "seq"]), "authors", "ids")
-    authored = ln.lookup_last(ln.attach_publications(authored, publications), "author_name_norm", persons.select(F.col("name_norm").alias("person"), "investigator_id"), "person", "investigator_id", "investigator_id").cache()
+    authored = materialize(ln.lookup_last(ln.attach_publications(authored, publications), "author_name_norm", persons.select(F.col("name_norm").alias("person"), "investigator_id"), "person", "investigator_id", "investigator_id"), "authorships")
 
     results = _pick(tables["results"], RESULT_COLUMNS).withColumn("doi_norm", tx.normalize_doi("doi_raw")).drop("row_index")
     base = projects.select("project_id", "cod_aeri", "codigo_campus", F.col("year").alias("project_year"), F.col("title").alias("project_title"), "coordinator_original", "coordinator_norm")
@@ -94,7 +98,7 @@ def build(tables: dict[str, DataFrame], blank_keys: str = "exclude", limit: int
     order = F.struct((F.col("source") != "SCOPUS").alias("s"), "seq", "author_order")
     authors = authored.select("publication_id", "author_name_norm", "author_name_raw", order.alias("auth_seq")).join(sides, "publication_id")
     coordinated = projects.select("project_id", "codigo_campus", F.col("year").alias("project_year"), F.col("title").alias("project_title"), "coordinator_original", "coordinator_norm", F.col("title_norm").alias("project_title_norm"), tx.tokens("title_norm").alias("project_tokens"))
-    candidates = with_orcid(ln.candidate_links(coordinated, authors), "coordinator_norm").drop("project_title_norm", "publication_title_norm", "project_tokens", "publication_tokens").cache()
+    candidates = materialize(with_orcid(ln.candidate_links(coordinated, authors), "coordinator_norm").drop("project_title_norm", "publication_title_norm", "project_tokens", "publication_tokens"), "candidates")
     pairs = like.where("publication_id is not null").select("project_id", "publication_id").distinct()
     return {
         "projects": projects, "investigators": persons, "investigator_aliases": ln.person_aliases(persons), "publications": publications,
@@ -105,17 +109,33 @@ def build(tables: dict[str, DataFrame], blank_keys: str = "exclude", limit: int
     }
 
 
-REPORTS = ["link_quality", "result_types", "links_per_project", "score_stats", "coverage", "overlap"]
+def write(outputs: dict[str, DataFrame], folder: str, tables: dict[str, DataFrame], workbook: bool = False) -> dict:
+    """Parquet tables below ``folder``, which may lie on any of Spark's file systems, and reports read from them.
 
-
-def write(outputs: dict[str, DataFrame], folder: str) -> None:
-    """Parquet tables below ``folder``; small reports also as Markdown and JSON."""
+    ``summary.json`` (merged into an earlier one), ``truth_metrics.json`` and ``.md``, ``efficacy.md``; ``workbook`` adds
+    the publications among the declared results as a styled workbook. Returns the summary.
+    """
+    spark = next(iter(outputs.values())).sparkSession
     for name, df in outputs.items():
         files.write_table(df, f"{folder}/{name}", replace=True)
-    small = {n: outputs[n] for n in REPORTS if n in outputs}
-    with open(f"{folder}/report.md", "w", encoding="utf-8") as f:
-        f.write(files.markdown_report("Links", small.items()))
-    files.update_summary(f"{folder}/summary.json", {n: [r.asDict() for r in df.limit(100).collect()] for n, df in small.items()})
+    written = {name: files.read_table(spark, f"{folder}/{name}") for name in outputs}
+    metrics = reports.truth_metrics(written)
+    write_bytes(spark, f"{folder}/truth_metrics.json", json.dumps(metrics, ensure_ascii=False, indent=2).encode())
+    write_bytes(spark, f"{folder}/truth_metrics.md", reports.truth_markdown(metrics).encode())
+    write_bytes(spark, f"{folder}/efficacy.md", files.markdown_report("Efficacy of the links", reports.efficacy(written)).encode())
+    if workbook:
+        like = written["project_publication_ground_truth"]
+        kinds = spark.createDataFrame([(c,) for c in like.columns], "c string").select("c", tx.column_class("c").alias("k")).collect()
+        xlsx.write_styled(like, f"{folder}/project_publication_ground_truth.xlsx", {r.c: r.k for r in kinds})
+    return files.update_summary(f"{folder}/summary.json", reports.summary(tables, written, metrics), spark)
+
+
+def sheet_of(names: list[str], wanted: str) -> str:
+    """The sheet of that name, else the only one that begins with it."""
+    found = [n for n in names if n == wanted] or [n for n in names if n.startswith(wanted)]
+    if len(found) != 1:
+        raise ValueError(f"{len(found)} sheets for {wanted!r} among {', '.join(names)}; name it with --sheet")
+    return found[0]
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -125,14 +145,19 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--blank-keys", choices=["exclude", "match"], default="exclude")
     parser.add_argument("--abstracts", help="a CSV of abstracts by DOI")
-    parser.add_argument("--sheet", action="append", default=[], metavar="TABLE=NAME", help=f"sheet of a table; tables: {', '.join(SHEETS)}")
+    parser.add_argument("--enrich", action="store_true", help="look the declared publications up at the service, paced by the environment")
+    parser.add_argument("--limit", type=int, help="look up the first rows only, by project and product")
+    parser.add_argument("--xlsx", action="store_true", help="also write the declared publications as a styled workbook")
+    parser.add_argument("--sheet", action="append", default=[], metavar="TABLE=NAME", help=f"sheet of a table, or how its name begins; tables: {', '.join(SHEETS)}")
     args = parser.parse_args(argv)
     spark = SparkSession.builder.getOrCreate()
     spark.dataSource.register(xlsx.XlsxSource)
-    sheets = SHEETS | dict(s.split("=", 1) for s in args.sheet)
-    tables = {t: spark.read.format("xlsx").option("sheet", s).load(args.workbook) for t, s in sheets.items()}
+    names, sheets = xlsx.sheet_names(args.workbook), SHEETS | dict(s.split("=", 1) for s in args.sheet)
+    tables = {t: spark.read.format("xlsx").option("sheet", sheet_of(names, s)).load(args.workbook) for t, s in sheets.items()}
     found = files.read_csv_text(spark, args.abstracts).withColumn("row_index", F.monotonically_increasing_id()) if args.abstracts else None
-    write(build(tables, args.blank_keys, abstracts=found), args.out)
+    pacing = rest.Pacing.from_env()
+    look_up = (lambda requests: materialize(rest.fetch(requests, pacing=pacing), "answers")) if args.enrich else None  # each request is sent once
+    write(build(tables, args.blank_keys, limit=args.limit, fetch=look_up, abstracts=found), args.out, tables, args.xlsx)
 
 
 if __name__ == "__main__":

@@ -7,10 +7,12 @@ import os
 from collections.abc import Iterable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillstone.storage import filesystem, read_text, write_bytes
+
 
 def read_table(spark: SparkSession, path: str, columns: list[str] | None = None, where: str | None = None) -> DataFrame:
     """A Parquet table; columns and condition reach the scan."""
@@ -20,15 +22,34 @@ def read_table(spark: SparkSession, path: str, columns: list[str] | None = None,
     return df.select(*columns) if columns else df
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None) -> DataFrame:
-    """CSV with a header; types are inferred without a schema."""
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    return reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
+#: Texts that typed CSV scans read as missing.
+NA_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
+
+
+def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    return spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
 
 
-def read_csv_text(spark: SparkSession, path: str, keep_blanks: bool = True) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """CSV with a header; types are inferred without a schema. NA_TEXTS are null.
+
+    With ``multi_line`` a field may hold line ends, and a file is one task; without it large files are split.
+    """
+    text = _csv(spark, multi_line).csv(path)
+    known = text.select([F.when(~F.col(f"`{c}`").isin(NA_TEXTS), F.col(f"`{c}`")).alias(c) for c in text.columns])
+    if schema:
+        fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+        return known.select([F.col(f"`{c}`").try_cast(f.dataType).alias(f.name) for c, f in zip(known.columns, fields, strict=True)])
+    kinds = ["int", "bigint", "double", "boolean"]
+    fit = [F.coalesce(F.bool_and(F.col(f"`{c}`").isNull() | F.col(f"`{c}`").try_cast(k).isNotNull()), F.lit(False)).alias(f"{i}_{k}") for i, c in enumerate(known.columns) for k in kinds]
+    found = known.agg(*fit).first()
+    types = [next((k for k in kinds if found[f"{i}_{k}"]), "string") for i in range(len(known.columns))]
+    return known.select([F.col(f"`{c}`").cast(t).alias(c) for c, t in zip(known.columns, types, strict=True)])
+
+
+def read_csv_text(spark: SparkSession, path: str, keep_blanks: bool = True, multi_line: bool = True) -> DataFrame:
     """CSV with a header, all columns text; blanks stay '' or become null."""
-    df = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+    df = _csv(spark, multi_line).csv(path)
     return df.na.fill("") if keep_blanks else df
 
 
@@ -39,14 +60,26 @@ def csv_columns(spark: SparkSession, path: str) -> list[str]:
 
 def find_abstracts(folder: str) -> str | None:
     """The first 'doi-resultados*.csv' below a folder, else the first CSV with the columns resumen and doi."""
-    named = sorted(Path(folder).rglob("doi-resultados*.csv"))
-    if named:
-        return str(named[0])
-    for path in sorted(Path(folder).rglob("*.csv")):
-        with open(path, encoding="utf-8-sig") as f:
-            header = {c.strip().strip('"').lower() for c in f.readline().split(",")}
-        if {"resumen", "doi"} <= header:
-            return str(path)
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        found = sorted(str(p) for p in Path(folder).rglob("*.csv"))
+    else:
+        fs, where = filesystem(spark, folder)
+        walk, found = fs.listFiles(where, True), []
+        while walk.hasNext():
+            found.append(walk.next().getPath().toString())
+        found = sorted(p for p in found if p.endswith(".csv"))
+    for path in found:
+        if path.rsplit("/", 1)[-1].startswith("doi-resultados"):
+            return path
+    for path in found:
+        if spark is None:
+            with open(path, encoding="utf-8-sig") as f:
+                names = f.readline().split(",")
+        else:
+            names = csv_columns(spark, path)
+        if {"resumen", "doi"} <= {n.strip().strip('"\ufeff').lower() for n in names}:
+            return path
     return None
 
 
@@ -58,9 +91,10 @@ def resolve_column(df: DataFrame, name: str) -> str | None:
 def read_jsonl_cache(spark: SparkSession, path: str, result: str) -> DataFrame:
     """``key, result, seq`` of a JSONL changelog; blank and broken lines and lines without a key are skipped.
 
-    ``result`` is the type of the results; ``seq`` orders a file's lines.
+    ``result`` is the type of the results; ``seq`` orders lines by file name and place, however files are split.
     """
-    lines = spark.read.text(path).where(F.trim("value") != "").withColumn("seq", F.monotonically_increasing_id())
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", place.alias("seq")).where(F.trim("value") != "")
     parsed = F.from_json("value", f"key string, result {result}, bad string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"})
     return lines.select("seq", parsed.alias("r")).where("r.key is not null and r.key <> '' and r.bad is null").select("r.key", "r.result", "seq")
 
@@ -72,9 +106,7 @@ def write_table(df: DataFrame, path: str, replace: bool = False) -> None:
 
 def recreate_folder(spark: SparkSession, path: str) -> None:
     """An empty folder in place of whatever stood there."""
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    fs = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, where = filesystem(spark, path)
     fs.delete(where, True)
     fs.mkdirs(where)
 
@@ -90,11 +122,16 @@ def write_jsonl(df: DataFrame, path: str, append: bool = False) -> None:
     df.select(F.to_json(F.struct("*")).alias("value")).write.mode("append" if append else "overwrite").text(path)
 
 
-def update_summary(path: str, values: dict) -> dict:
-    """Merge values into a small JSON file; later values win. Returns the whole."""
-    old = json.loads(Path(path).read_text(encoding="utf-8")) if Path(path).exists() else {}
-    merged = old | values
-    Path(path).write_text(json.dumps(merged, ensure_ascii=False, indent=2, default=str), encoding="utf-8")
+def update_summary(path: str, values: dict, spark: SparkSession | None = None) -> dict:
+    """Merge values into a small JSON file (on any of Spark's file systems with ``spark``); later values win. Returns the whole."""
+    local = Path(path)
+    old = read_text(spark, path) if spark else local.read_text(encoding="utf-8") if local.exists() else None
+    merged = json.loads(old or "{}") | values
+    text = json.dumps(merged, ensure_ascii=False, indent=2, default=str)
+    if spark:
+        write_bytes(spark, path, text.encode())
+    else:
+        local.write_text(text, encoding="utf-8")
     return merged
 
 
@@ -108,10 +145,13 @@ def load_env(path: str, env: dict[str, str] | None = None) -> dict[str, str]:
     return env
 
 
-def markdown_report(title: str, sections: Iterable[tuple[str, DataFrame]], rows: int = 20) -> str:
-    """Small result tables (``rows`` at most) as Markdown."""
+def markdown_report(title: str, sections: Iterable[tuple[str, DataFrame]], rows: int | None = None) -> str:
+    """Small result tables as Markdown. With ``rows``, longer ones end after their first rows, and say so."""
     out = [f"# {title}"]
     for name, df in sections:
+        shown = df.collect() if rows is None else df.limit(rows + 1).collect()
         out += ["", f"## {name}", "", "| " + " | ".join(df.columns) + " |", "|" + "-|" * len(df.columns)]
-        out += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in df.limit(rows).collect()]
+        out += ["| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in shown[:rows]]
+        if rows is not None and len(shown) > rows:
+            out += ["", f"The first {rows} of {df.count()} rows."]
     return "\n".join(out) + "\n"

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import random
 import time
 import urllib.error
 import urllib.request
-from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator, Mapping
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,6 +24,13 @@ class Pacing:
     factor: float = 2.0
     timeout: float = 10.0
 
+    @classmethod
+    def from_env(cls, env: Mapping[str, str] = os.environ) -> Pacing:
+        """Pacing by the variables that are set; the names are fixed values."""
+        names = {"rate": "OPENALEX_RATE_LIMIT_SECONDS", "jitter": "OPENALEX_JITTER_SECONDS", "attempts": "OPENALEX_MAX_RETRIES", "factor": "OPENALEX_BACKOFF_FACTOR"}
+        given = {f: float(env[n]) for f, n in names.items() if env.get(n)}
+        return replace(cls(), **given | ({"attempts": int(given["attempts"])} if "attempts" in given else {}))
+
 
 def http_get(url: str, timeout: float) -> str:
     """The body of an answer."""

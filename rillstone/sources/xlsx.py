@@ -8,6 +8,7 @@ All columns are text; a sheet is one partition, since its XML is one stream.
 
 from __future__ import annotations
 
+import io
 import re
 import zipfile
 from collections.abc import Iterator
@@ -19,6 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from rillstone.storage import write_bytes
+
 _NS = "{http://schemas.openxmlformats.org/spreadsheetml/2006/main}"
 _REL = "{http://schemas.openxmlformats.org/officeDocument/2006/relationships}id"
 
@@ -58,6 +61,12 @@ def read_rows(path: str, sheet: str | None = None) -> Iterator[list[str | None]]
                 yield out
 
 
+def sheet_names(path: str) -> list[str]:
+    """Names of a workbook's sheets in order."""
+    with zipfile.ZipFile(path) as z:
+        return [s.get("name") for s in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{_NS}sheet")]
+
+
 class _Reader(DataSourceReader):
     def __init__(self, path: str, sheet: str | None, width: int) -> None:
         self.path, self.sheet, self.width = path, sheet, width
@@ -158,6 +167,8 @@ def write_styled(df: DataFrame, path: str, classes: dict[str, str], title: str =
         "xl/worksheets/sheet1.xml": f'<worksheet {ns}>{pane}<cols>{cols}</cols><sheetData>{data}</sheetData><autoFilter ref="A1:{last}"/></worksheet>',
         "xl/worksheets/sheet2.xml": f"<worksheet {ns}><sheetData>{legend}</sheetData></worksheet>",
     }
-    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
         for name, text in files.items():
             z.writestr(name, '<?xml version="1.0" encoding="UTF-8"?>' + text)
+    write_bytes(df.sparkSession, path, out.getvalue())

@@ -2,6 +2,7 @@
 
 import random
 import re
+import sys
 import unicodedata
 from difflib import SequenceMatcher
 
@@ -38,12 +39,23 @@ def test_identifiers(spark):
     assert rows(spark, values, once) == rows(spark, rows(spark, values, once), once)
 
 
+def test_every_character_folds_as_in_python(spark):
+    codes = [c for c in range(1, sys.maxunicode + 1) if not 0xD800 <= c < 0xE000 and unicodedata.category(chr(c)) != "Cn"]
+    pick = random.Random(8)
+    shown = [chr(c) for c in codes if plain(chr(c))]
+    names = ["Nguyễn Văn Thắng", "Ａ２", "CO² m³", "½ ⑩ №5 ŉ Straße ǅ"] + ["".join(pick.choice(shown) if pick.random() < 0.5 else pick.choice("abc  1-é") for _ in range(12)) for _ in range(10_000)]
+    texts = ["a" + chr(c) + "b" for c in codes] + names
+    got = spark.createDataFrame([(t,) for t in texts], "v string").select("v", tx.normalize_text("v").alias("n")).collect()
+    assert [(r.v, r.n) for r in got if r.n != plain(r.v)] == []
+
+
 def test_names_lists_and_keys(spark):
     assert rows(spark, ["Pérez, Ana", "Ana", "", None, ",", "A, B, C"], tx.name_aliases("v")) == [["PEREZ ANA", "ANA PEREZ"], ["ANA"], [], [], [], ["A B C", "B C A"]]
     assert rows(spark, ["a| b ||-", None, ""], tx.split_list("v")) == [["a", "b", "-"], [], []]
     assert rows(spark, ["a| b ||-"], tx.split_list("v", drop=["-"])) == [["a", "b"]]
-    aligned = tx.split_aligned("v")
-    assert rows(spark, ["1|-|3"], aligned) == [["1", "", "3"]] and rows(spark, ["1|-|3"], tx.at(aligned, F.lit(9))) == [""]
+    both = spark.createDataFrame([("A||B", "1||3"), ("A|B|C", "-| 2 "), (None, "1"), ("A", None)], "n string, i string").select(*tx.split_aligned("n", "i"))
+    assert [tuple(r) for r in both.collect()] == [(["A", "B"], ["1", "3"]), (["A", "B", "C"], ["", "2", ""]), ([], []), (["A"], [""])]
+    assert rows(spark, ["1|-|3"], tx.at(tx.split_list("v"), F.lit(9))) == [""]
     df = spark.createDataFrame([("10.1/ABC", "x"), ("", "Hello   World"), ("-", ""), (None, None)], "d string, t string")
     assert [r[0] for r in df.select(tx.cache_key("d", "t")).collect()] == ["doi:10.1/abc", "title:hello world", "", ""]
     urls = [r[0] for r in spark.createDataFrame([(None, "A study about open science"), ("10.1/A", "x"), (None, "A b/c~*")], "d string, t string").select(tx.work_query("d", "t")).collect()]

@@ -2,9 +2,11 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from rillstone.plans import run
+from rillstone.sources import xlsx
 
 SHEETS = {
     "projects": [
@@ -56,5 +58,22 @@ def test_run(spark, tmp_path):
     assert links[1, "Open data rivers"].score == 130.0 and links[1, "Undated"].year_delta is None and links[1, "Undated"].coordinator_orcid == "0000-1"
     quality = {r.level: (r.candidates, r.truth, r.matched) for r in out["link_quality"].collect()}
     assert quality == {"overall": (2, 1, 1), "high": (1, 1, 1), "medium": (1, 1, 0), "high_medium": (2, 1, 1)}
-    run.write(out, str(tmp_path))
-    assert (tmp_path / "report.md").read_text().startswith("# Links") and "link_quality" in json.loads((tmp_path / "summary.json").read_text())
+    folder = str(tmp_path / "out")
+    told = run.write(out, folder, tables(spark), workbook=True)
+    assert told == json.loads((tmp_path / "out" / "summary.json").read_text())
+    want = {"projects_total": 4, "projects_closed_since_2010": 2, "investigators_master": 3, "publication_source_records": 5, "publications_master": len(master), "authorship_rows": 5}
+    want |= {"ground_truth_rows": 2, "ground_truth_projects": 1, "ground_truth_rows_with_doi": 1, "ground_truth_rows_matched_by_doi": 1, "ground_truth_publication_rows": 1, "candidate_links_v1": 2}
+    want |= {"candidate_links_high_confidence": 1, "candidate_links_medium_confidence": 1, "candidate_links_low_confidence": 0, "ground_truth_linked_rows_pct": 50.0, "abstracts_matched": 1}
+    want |= {"candidate_precision_vs_ground_truth_pct": 50.0, "ground_truth_recall_by_candidates_pct": 100.0, "ground_truth_linked_top_result_type": "Artículo indizado", "efficacy_high_precision_pct": 100.0}
+    assert {k: told[k] for k in want} == want
+    metrics = json.loads((tmp_path / "out" / "truth_metrics.json").read_text())
+    assert metrics["ground_truth_overview"]["linked_publications_per_project"] == {"mean": 1.0, "median": 1.0, "max": 1}
+    assert metrics["distribution"]["match_method"] == [{"value": "doi", "count": 1, "pct": 100.0}] and metrics["efficacy"]["high_plus_medium"]["matched_pairs"] == 1
+    assert "- Rows: 2" in (tmp_path / "out" / "truth_metrics.md").read_text() and "## Sources" in (tmp_path / "out" / "efficacy.md").read_text()
+    assert "Leyenda" in xlsx.sheet_names(folder + "/project_publication_ground_truth.xlsx")
+
+
+def test_sheets_by_name_or_beginning():
+    assert run.sheet_of(["ORCID", "ORCID old"], "ORCID") == "ORCID" and run.sheet_of(["A", "ORCID list"], "ORCID") == "ORCID list"
+    with pytest.raises(ValueError, match="2 sheets"):
+        run.sheet_of(["ORCID a", "ORCID b"], "ORCID")

@@ -37,6 +37,35 @@ def test_discovery_env_and_summary(tmp_path):
     assert files.update_summary(str(tmp_path / "s.json"), {"b": 3}) == {"a": 1, "b": 3}
 
 
+def test_typed_csv_knows_missing_values(spark, tmp_path):
+    (tmp_path / "n.csv").write_text("a,b,c,d\n1,NA,x,true\n,2.5,NULL,\nnan,3,None,false\n")
+    for multi_line in (True, False):
+        df = files.read_csv(spark, str(tmp_path / "n.csv"), multi_line=multi_line)
+        assert dict(df.dtypes) == {"a": "int", "b": "double", "c": "string", "d": "boolean"}
+        assert [tuple(r) for r in df.collect()] == [(1, None, "x", True), (None, 2.5, None, None), (None, 3.0, None, False)]
+    assert files.read_csv(spark, str(tmp_path / "n.csv"), "a long, b double, c string, d string").first().a == 1
+
+
+def test_summary_and_reports_on_sparks_file_systems(spark, tmp_path):
+    path = f"file://{tmp_path}/new/s.json"
+    files.update_summary(path, {"a": "é"}, spark)
+    assert files.update_summary(path, {"b": 1}, spark) == {"a": "é", "b": 1} == json.loads((tmp_path / "new" / "s.json").read_text())
+    df = spark.range(30)
+    assert files.markdown_report("t", [("s", df)]).count("| ") == 31 and "The first 3 of 30 rows." in files.markdown_report("t", [("s", df)], 3)
+
+
+def test_pacing_from_the_environment():
+    assert rest.Pacing.from_env({"OPENALEX_MAX_RETRIES": "7", "OPENALEX_RATE_LIMIT_SECONDS": "0.5"}) == rest.Pacing(rate=0.5, attempts=7)
+    assert rest.Pacing.from_env({}) == rest.Pacing()
+
+
+def test_changelogs_over_several_files(spark, tmp_path):
+    for name, x in (("b", 2), ("a", 1), ("c", 3)):
+        (tmp_path / f"{name}.jsonl").write_text("\n".join(f'{{"key": "k", "result": {{"x": {10 * x + i}}}}}' for i in range(3)) + "\n" * (50 * (4 - x)))
+    rows = files.read_jsonl_cache(spark, str(tmp_path), "struct<x: int>").orderBy("seq").collect()
+    assert [r.result.x for r in rows] == [10, 11, 12, 20, 21, 22, 30, 31, 32]
+
+
 def test_jsonl_cache_skips_what_it_cannot_use(spark, tmp_path):
     lines = ['{"key": "a", "result": {"x": 1}}', "", "{broken", '{"result": {"x": 5}}', '{"key": "a", "result": {"x": 2}}']
     (tmp_path / "c.jsonl").write_text("\n".join(lines))
