@@ -4,29 +4,50 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import PCA, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillstone.storage import materialize, spread
+
 TOKEN = r"[^0-9a-z_À-ɏ]+"
 
 
+def _counted(df: DataFrame, words: Column) -> DataFrame:
+    """``df`` with ``c``: the distinct words of an array with their counts, from one sort. Each step is a column of its
+    own, since an expression inside a lambda is evaluated again for every element."""
+    ordered, starts = F.col("__ordered"), F.col("__starts")
+    steps = df.withColumn("__ordered", F.array_sort(words)).where(F.size("__ordered") > 0)
+    steps = steps.withColumn("__starts", F.filter(F.sequence(F.lit(0), F.size(ordered) - 1), lambda i: (i == 0) | (F.get(ordered, i) != F.get(ordered, i - 1))))
+    counted = F.transform(starts, lambda at, k: F.struct(F.get(ordered, at).alias("term"), (F.coalesce(F.get(starts, k + 1), F.size(ordered)) - at).cast("long").alias("tf")))
+    return steps.withColumn("c", counted).drop("__ordered", "__starts")
+
+
 def tfidf(df: DataFrame, key: str, text: str, max_features: int = 2000) -> DataFrame:
     """``key, term, weight``: smooth inverse document frequency ln((1 + n) / (1 + df)) + 1, rows of length 1.
 
-    Terms are words of two letters or more in lower case; the ``max_features`` commonest (ties by term) count. Counts
-    are aggregated before they are joined; the vocabulary is broadcast, as ``max_features`` bounds it.
+    Terms are words of two letters or more in lower case; the ``max_features`` commonest (ties by term) count. Rows of
+    one key are one text. Words are counted inside each row; only counts of terms and, for the lengths, the pairs of the
+    vocabulary are shuffled. The vocabulary is broadcast, as ``max_features`` bounds it.
     """
-    words = F.filter(F.split(F.lower(F.coalesce(F.col(text), F.lit(""))), TOKEN), lambda w: F.length(w) > 1)
-    counts = df.select(key, F.explode(words).alias("term")).groupBy(key, "term").agg(F.count("*").alias("tf"))
+    texts = spread(df.select(key, F.coalesce(F.col(text), F.lit("")).alias("__text")))
+    repeated = df.groupBy(key).count().where("count > 1").select(key)
+    if not repeated.isEmpty():
+        again = repeated.select(F.col(key).alias("__again"))
+        same = F.col(key).eqNullSafe(F.col("__again"))
+        texts = texts.join(again, same, "left_anti").unionByName(texts.join(again, same, "left_semi").groupBy(key).agg(F.concat_ws(" ", F.collect_list("__text")).alias("__text")))
+    words = F.filter(F.split(F.lower("__text"), TOKEN), lambda w: F.length(w) > 1)
+    counts = materialize(_counted(texts, words).select(key, "c"), "term-counts").select(key, F.explode("c").alias("c")).select(key, "c.term", "c.tf")
     vocabulary = counts.groupBy("term").agg(F.sum("tf").alias("total"), F.count("*").alias("df")).orderBy(F.desc("total"), "term").limit(max_features)
-    n = df.agg(F.count("*").alias("n"))
+    n = texts.agg(F.count("*").alias("n"))
     idf = vocabulary.crossJoin(F.broadcast(n)).select("term", (F.log((F.lit(1.0) + F.col("n")) / (F.lit(1.0) + F.col("df"))) + 1).alias("idf"))
-    weighted = counts.join(F.broadcast(idf), "term").withColumn("w", F.col("tf") * F.col("idf"))
-    norms = weighted.groupBy(F.col(key).alias("__key")).agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"))
-    return weighted.join(norms, F.col(key) == F.col("__key")).select(key, "term", (F.col("w") / F.col("norm")).alias("weight"))
+    weighted = counts.join(F.broadcast(idf), "term").select(key, F.struct("term", (F.col("tf") * F.col("idf")).alias("w")).alias("x"))
+    rows = weighted.groupBy(key).agg(F.sqrt(F.sum(F.col("x.w") * F.col("x.w"))).alias("norm"), F.collect_list("x").alias("x"))  # max_features a key, at most
+    return rows.select(key, "norm", F.explode("x").alias("x")).select(key, "x.term", (F.col("x.w") / F.col("norm")).alias("weight"))
 
 
 def with_pca(df: DataFrame, vector: str, k: int = 3) -> tuple[DataFrame, list[float]]:
@@ -54,10 +75,57 @@ def _pivoted(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.join(dense, key)
 
 
-#: Ways to embed a text column; further ones (a transformer model, say) can be registered.
+#: Ways to embed a text column; ``register_transformer`` adds models.
 EMBEDDINGS: dict[str, Callable[[DataFrame, str, str], DataFrame]] = {"tfidf": _pivoted}
 
 
+def _open_onnx(model: str):
+    import onnxruntime
+
+    return onnxruntime.InferenceSession(model, providers=["CPUExecutionProvider"])
+
+
+def _open_tokenizer(vocabulary: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(vocabulary)
+
+
+def register_transformer(name: str, model: str, vocabulary: str, prefix: str = "", batch: int = 64, most: int = 512, open_model: Callable = _open_onnx, open_vocabulary: Callable = _open_tokenizer) -> None:
+    """Add the embedding ``name``: a transformer in ONNX form with its tokenizer file, which all executors can open.
+
+    A text is the mean of its tokens' last states, of length 1; ``prefix`` stands before each text (a task, say), and the
+    model reads the first ``most`` tokens, its own bound. Blank texts give zeros. Sessions live as long as their workers.
+    """
+
+    def embed(df: DataFrame, key: str, text: str) -> DataFrame:
+        opened: list = []
+
+        @F.pandas_udf("array<double>")
+        def vectors(texts: pd.Series) -> pd.Series:
+            if not opened:
+                opened.extend((open_model(model), open_vocabulary(vocabulary)))
+            session, tokenizer = opened
+            wanted = [i.name for i in session.get_inputs()]
+            out: list[np.ndarray] = []
+            for at in range(0, len(texts), batch):
+                ids = [tokenizer.encode(prefix + t).ids[:most] for t in texts.iloc[at : at + batch]]
+                mask = np.zeros((len(ids), max(map(len, ids), default=0) or 1), np.int64)
+                padded = mask.copy()
+                for k, row in enumerate(ids):
+                    mask[k, : len(row)], padded[k, : len(row)] = 1, row
+                given = {"input_ids": padded, "attention_mask": mask, "token_type_ids": np.zeros_like(mask)}
+                states = session.run(None, {n: given[n] for n in wanted})[0]
+                blank = np.array([not t.strip() for t in texts.iloc[at : at + batch]])
+                mean = (states * mask[:, :, None]).sum(1) / np.maximum(mask.sum(1), 1)[:, None] * ~blank[:, None]
+                out.extend(mean / np.maximum(np.linalg.norm(mean, axis=1), 1e-12)[:, None])
+            return pd.Series([v.astype(float).tolist() for v in out])
+
+        return df.withColumn("embedding", vectors(F.coalesce(F.col(text), F.lit(""))))
+
+    EMBEDDINGS[name] = embed
+
+
 def analyze(df: DataFrame, key: str, text: str, method: str = "tfidf", components: int = 3, clusters: int = 8) -> tuple[DataFrame, dict]:
     """``df`` with components and cluster labels, and what was done. Raises if no text has words."""
     if method not in EMBEDDINGS:

@@ -5,12 +5,16 @@ All figures are counted by Spark; only rows whose number the run bounds (kinds,
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillstone.functions import text as tx
 from rillstone.operators import enrichment as en
 from rillstone.operators import metrics as mt
+from rillstone.sources import files
+from rillstone.storage import write_bytes
 
 #: Columns of the truth whose values are counted among linked rows.
 DISTRIBUTIONS = ("result_type", "result_category", "match_method", "call_name")
@@ -110,3 +114,10 @@ def truth_markdown(metrics: dict) -> str:
         "", "## The ten commonest kinds", "", *(f"- {r['value']}: {r['count']} ({r['pct']} %)" for r in metrics["distribution"]["result_type"][:10]),
         "", "## Precision and recall", "", *(f"- {n}: {r['precision_pct']} %, {r['recall_pct']} %" for n, r in rates.items()), "",
     ])
+
+
+def write_analysis(labelled: DataFrame, info: dict, folder: str) -> None:
+    """The result of ``semantic.analyze``: rows as CSV below ``folder``, and what was done in ``metadata.json`` beside them."""
+    files.write_csv(labelled, f"{folder}/projects")
+    told = {"embedding_method": info["method"], "pca_explained_variance_ratio": info["explained_variance"], "n_clusters": info["clusters"], "project_count": labelled.count()}
+    write_bytes(labelled.sparkSession, f"{folder}/metadata.json", json.dumps(told, ensure_ascii=False, indent=2).encode())

@@ -46,6 +46,21 @@ def materialize(df: DataFrame, name: str, instead: DataFrame | None = None) -> D
     return out
 
 
+#: A table of fewer bytes for each core, in fewer files than twice the cores, is dealt out anew by ``spread``.
+SMALL_SHARE = 16 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """``df``, dealt out over all cores if it is a small table in few files, which else few tasks would read.
+
+    Larger tables are split by Spark itself and stay as they are: no row of theirs is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) >= SMALL_SHARE * cores or len(df._jdf.inputFiles()) >= 2 * cores:
+        return df
+    return df.repartition(cores)
+
+
 def discard(written: DataFrame) -> None:
     """Remove the files of a result of ``materialize``."""
     path = written._rillstone_folder
