@@ -22,11 +22,11 @@ from hashlib import blake2b
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillstone.llm.byte_bpe import byte_bpe
-from rillstone.llm.common import bound_batches, new_folder, remove
+from rillstone.llm.common import bound_batches, new_folder, remove, spread
 
 DIGEST = 16
 #: Ids that the rolling hash looks at, and the bounds and mean (a power of two) of a chunk's length.
@@ -118,7 +118,7 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id
     """
     spark = docs.sparkSession
     bound_batches(spark)
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    slim = spread(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     width = 2 if byte_bpe(vocabulary).size <= 1 << 16 and end_id < 1 << 16 else 4
     names = ["doc_id", "n_tokens", "recipe", "place", "digest", "n", "ids"]
 
@@ -170,19 +170,53 @@ def write_store(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, id
 
     recipes = stage.where("recipe is not null").select("doc_id", "n_tokens", "recipe").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "recipe")
     recipes.mapInArrow(number, f"part int, idx long, doc_id {kind}, start_in_part long, n_tokens long, recipe binary, root binary").write.parquet(f"{path}/recipes")
-    parts = spark.read.parquet(f"{path}/recipes").groupBy("part").agg(F.count("*").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"), _root_over("root").alias("root"))
+    parts = part_roots(spark.read.parquet(f"{path}/recipes"))
     parts.withColumn("width", F.lit(width)).write.parquet(f"{path}/manifest")
     remove(spark, staged)
 
 
-def _root_over(col: str) -> Column:
-    """Aggregate: the Merkle root over a part's roots in the order of ``idx``."""
+class MerkleFold:
+    """The root over digests that come one after another, in memory of the tree's height: as ``merkle_root`` of all."""
 
-    @F.arrow_udf("binary")
-    def root(parts: pa.Array) -> pa.Array:
-        return pa.array([merkle_root(b"".join(r["root"] for r in part)) for part in parts.to_pylist()], pa.binary())
+    def __init__(self) -> None:
+        self.full: list[tuple[int, bytes]] = []  # roots of full subtrees and their numbers of leaves, descending
+
+    def add(self, digest: bytes) -> None:
+        n = 1
+        while self.full and self.full[-1][0] == n:
+            digest, n = _digest(b"\x01" + self.full.pop()[1] + digest), 2 * n
+        self.full.append((n, digest))
+
+    def root(self) -> bytes:
+        if not self.full:
+            return _digest(b"")
+        out = self.full[-1][1]
+        for _, left in reversed(self.full[:-1]):
+            out = _digest(b"\x01" + left + out)
+        return out
+
+
+def part_roots(recipes: DataFrame) -> DataFrame:
+    """``part, n_docs, n_tokens, root`` over each part's recipes in the order of ``idx``; no part is gathered in a row."""
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([docs]), pa.array([tokens]), pa.array([tree.root()], pa.binary())], names=["part", "n_docs", "n_tokens", "root"])
+
+        part, docs, tokens, tree = None, 0, 0, MerkleFold()
+        for batch in batches:
+            for p, n, root in zip(*(batch.column(c).to_pylist() for c in ("part", "n_tokens", "root")), strict=True):
+                if p != part:
+                    if part is not None:
+                        yield told()
+                    part, docs, tokens, tree = p, 0, 0, MerkleFold()
+                docs, tokens = docs + 1, tokens + n
+                tree.add(root)
+        if part is not None:
+            yield told()
 
-    return root(F.sort_array(F.collect_list(F.struct("idx", F.col(col).alias("root")))))
+    slim = recipes.select("part", "idx", "n_tokens", "root").repartition("part").sortWithinPartitions("part", "idx")
+    return slim.mapInArrow(fold, "part int, n_docs long, n_tokens long, root binary")
 
 
 def _chunk_facts(chunks: DataFrame) -> DataFrame:
@@ -259,6 +293,6 @@ def restore(spark: SparkSession, path: str, only: DataFrame | None = None) -> Da
 
 def verify_store(spark: SparkSession, path: str) -> int:
     """Number of parts whose recipes do not give the manifest's root or counts (0: the store is whole)."""
-    found = spark.read.parquet(f"{path}/recipes").groupBy("part").agg(F.count("*").alias("docs"), F.sum("n_tokens").alias("tokens"), _root_over("root").alias("found"))
+    found = part_roots(spark.read.parquet(f"{path}/recipes")).select("part", F.col("n_docs").alias("docs"), F.col("n_tokens").alias("tokens"), F.col("root").alias("found"))
     both = spark.read.parquet(f"{path}/manifest").join(found, "part", "full")
     return both.where(~(F.col("root").eqNullSafe(F.col("found")) & F.col("n_docs").eqNullSafe(F.col("docs")) & F.col("n_tokens").eqNullSafe(F.col("tokens")))).count()

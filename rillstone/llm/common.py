@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
-from rillstone.storage import discard, materialize, new_folder, remove, shared_dir
+from rillstone.storage import discard, materialize, new_folder, remove, shared_dir, spread
 
-__all__ = ["BATCH_ROWS", "bound_batches", "discard", "materialize", "new_folder", "remove", "shared_dir"]
+__all__ = ["BATCH_ROWS", "bound_batches", "discard", "materialize", "new_folder", "remove", "shared_dir", "spread"]
 
 #: Rows of an Arrow batch at most: rows hold whole texts, and a batch lies in memory several times on its way.
 BATCH_ROWS = 2000

@@ -19,7 +19,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bound_batches, materialize
+from rillstone.llm.common import bound_batches, materialize, spread
 from rillstone.llm.words import PLAIN, mix, slices, words
 
 WINDOW = 10
@@ -133,8 +133,9 @@ def _searched(items: Broadcast, window: int, id_type: str) -> Callable[[str], Co
 def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", window: int = WINDOW, hits_col: str = "hits", pass_bytes: int = PASS_BYTES) -> DataFrame:
     """``docs`` with a struct ``hits_col``: ``n_words``, ``spans`` (hit words, first and last) and ``items``.
 
-    ``docs`` is not shuffled. The benchmark's bytes are summed first: up to ``pass_bytes`` it is broadcast whole, beyond
-    that it is dealt out to as many passes as needed, each broadcasting its share and writing what it found.
+    The benchmark's bytes are summed first: up to ``pass_bytes`` it is broadcast whole, and ``docs`` is not shuffled.
+    Beyond that it is dealt out to as many passes as needed, each broadcasting its share. What occurs depends on the text
+    alone, so all passes but the last write only the hits of texts that have any, by the text's digest.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -145,26 +146,35 @@ def with_hits(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", ite
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     passes = max(1, -(-size // pass_bytes))
     share = F.pmod(F.xxhash64("text"), F.lit(passes))
-    for k in range(passes):
+
+    def found(k: int) -> Column:
         part = spark.sparkContext.broadcast([tuple(r) for r in items.where(share == k).collect()])  # at most about pass_bytes
-        found = _searched(part, window, id_type)(F.coalesce(F.col(text_col), F.lit("")))
-        if not k:
-            docs = docs.withColumn(hits_col, found)
-        else:
-            both = docs.withColumn("__more", found)
-            spans = F.array_sort(F.concat(f"{hits_col}.spans", "__more.spans"))
-            joined = F.aggregate(
-                spans,
-                F.expr("cast(array() as array<struct<first:long,last:long>>)"),
-                lambda a, s: F.when((F.size(a) > 0) & (s["first"] <= F.element_at(a, -1)["last"] + 1), F.concat(F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.array(F.struct(F.element_at(a, -1)["first"].alias("first"), F.greatest(F.element_at(a, -1)["last"], s["last"]).alias("last"))))).otherwise(
-                    F.concat(a, F.array(s))
-                ),
-            )
-            merged = F.struct(F.col(f"{hits_col}.n_words").alias("n_words"), joined.alias("spans"), F.array_union(f"{hits_col}.items", "__more.items").alias("items"))
-            docs = both.withColumn(hits_col, merged).drop("__more")
-        if passes > 1:
-            docs = materialize(docs, "hits")
-    return docs
+        return _searched(part, window, id_type)(F.coalesce(F.col(text_col), F.lit("")))
+
+    docs = spread(docs)
+    hit = docs.withColumn(hits_col, found(0))
+    if passes == 1:
+        return hit
+    digest = F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+    more = None
+    for k in range(1, passes):
+        some = docs.select(digest.alias("of"), found(k).alias("h")).where(F.size("h.spans") > 0).dropDuplicates(["of"])
+        some = materialize(some.select("of", "h.spans", "h.items"), "hits")
+        more = some if more is None else more.unionByName(some)
+    more = more.groupBy("of").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))  # a row per pass, at most
+    free = next(n for n in map("more{}".format, range(len(docs.columns) + 1)) if n not in docs.columns)
+    both = hit.join(more.select(F.struct("of", "spans", "items").alias(free)), digest == F.col(free)["of"], "left")
+    none = F.col(free).isNull()
+    spans = F.array_sort(F.concat(f"{hits_col}.spans", F.col(free)["spans"]))
+    joined = F.aggregate(
+        spans,
+        F.expr("cast(array() as array<struct<first:long,last:long>>)"),
+        lambda a, s: F.when((F.size(a) > 0) & (s["first"] <= F.element_at(a, -1)["last"] + 1), F.concat(F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(0))), F.array(F.struct(F.element_at(a, -1)["first"].alias("first"), F.greatest(F.element_at(a, -1)["last"], s["last"]).alias("last"))))).otherwise(
+            F.concat(a, F.array(s))
+        ),
+    )
+    merged = F.struct(F.col(f"{hits_col}.n_words").alias("n_words"), joined.alias("spans"), F.array_union(f"{hits_col}.items", F.col(free)["items"]).alias("items"))
+    return both.withColumn(hits_col, F.when(none, F.col(hits_col)).otherwise(merged)).drop(free)
 
 
 def hit_words(hits: Column) -> Column:

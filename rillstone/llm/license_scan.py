@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import materialize
+from rillstone.llm.common import materialize, spread
 from rillstone.llm.license_texts import TEXTS, notices
 
 #: Lines that name a holder and no term, with or without comment marks. After "copyright" comes a sign, a
@@ -67,7 +67,7 @@ def _known(df: DataFrame, rows: list[tuple[str, str]], digest: str, name: str) -
 def license_scan(docs: DataFrame, texts: list[tuple[str, str]] = TEXTS, lines: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``digest`` (of the canonical text), ``license_id`` (of the whole text, or null), ``n_notices``
     (lines that are a known notice) and ``notice_licenses`` (their licences, distinct, sorted, comma-joined)."""
-    canonical = docs.select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col)).alias("lines"))
+    canonical = spread(docs).select(F.col(id_col).alias("doc_id"), canonical_lines(F.col(text_col)).alias("lines"))
     digests = F.transform("lines", lambda x: F.unhex(F.sha2(x, 256)))
     hashed = materialize(canonical.select("doc_id", F.sha2(canonical_text(F.col("lines")), 256).alias("digest"), digests.alias("lines")), "line-digests")
     noted = _known(docs, notices() if lines is None else lines, "line", "notice").withColumn("line", F.unhex("line"))

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bound_batches, discard, materialize
+from rillstone.llm.common import bound_batches, discard, materialize, spread
 from rillstone.llm.components import connected_components
 from rillstone.llm.words import SPACED, shingles, slices, words
 
@@ -123,7 +123,7 @@ class _Finder:
         bound_batches(docs.sparkSession)
         self.size, self.percent = size, percent
         self.stops = least_matches(percent / 100)
-        self.docs = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+        self.docs = spread(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
         self.kind = self.docs.schema["doc_id"].dataType.simpleString()
         sketched = self.docs.select("doc_id", _sketch(size)("text").alias("s")).select("doc_id", "s.*")
         self.spent: list[DataFrame] = []
@@ -197,7 +197,7 @@ class _Finder:
         percent, n = F.lit(self.percent), F.col("n")
         profiles = self.write(self.sets(dense.select("doc_id")).join(dense, "doc_id").select("doc_id", "part", F.size("s").cast("long").alias("n"), "s"), "dense-sets")
         single = profiles.select("doc_id", "part", "n", F.explode("s").alias("t"))
-        often = single.groupBy("t").agg(F.count("*").alias("df")).where("df > 1")
+        often = self.write(single.groupBy("t").agg(F.count("*").alias("df")).where("df > 1"), "shared-shingles")  # written, so that a common shingle's join can be split
         known = single.join(often, "t").groupBy("doc_id", "part", "n").agg(F.sort_array(F.collect_list(F.struct("df", "t"))).alias("k"))  # those of one document come before them
         alone = n - F.size("k")
         reach = n - F.ceil(percent * n / 100) + 1  # against smaller sets; against larger ones fewer will do
@@ -205,7 +205,8 @@ class _Finder:
         first = known.withColumn("alone", alone).withColumn("k", F.slice("k", 1, F.greatest(F.lit(0), reach - alone).cast("int")))
         first = first.select("doc_id", "part", "n", "alone", near.alias("near"), F.posexplode("k").alias("i", "x"))
         first = self.write(first.select(F.col("x.t").alias("t"), "doc_id", "part", "n", (F.col("alone") + F.col("i")).alias("p"), (F.col("alone") + F.col("i") < F.col("near")).alias("early")), "rare-shingles")
-        largest = first.groupBy("t", "part").agg(F.count("*").alias("c")).groupBy("t").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1").drop("parts")
+        largest = first.groupBy("t", "part").agg(F.count("*").alias("c")).groupBy("t").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.count("*").alias("parts")).where("parts > 1")
+        largest = self.write(largest.drop("parts"), "largest-parts")
         mixed = self.write(first.join(largest, "t"), "mixed-shingles")
         x = mixed.where("part != main").select("t", *(F.col(c).alias(f"x_{c}") for c in ("doc_id", "part", "n", "p", "early")))
         y = mixed.drop("main")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillstone.llm.byte_bpe import byte_bpe
-from rillstone.llm.common import bound_batches
+from rillstone.llm.common import bound_batches, spread
 
 #: Pieces of one length are ranked in this many groups at least, and in more where a group would exceed GROUP_ROWS.
 RANK_GROUPS, GROUP_ROWS = 64, 1_000_000
@@ -36,7 +36,7 @@ def cut_documents(docs: DataFrame, vocabulary: str, capacity: int = 1024, end_id
     only its first may be shorter.
     """
     bound_batches(docs.sparkSession)
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    slim = spread(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     end, width = np.array([end_id], "<u4").tobytes(), 4 * capacity
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bound_batches, materialize
+from rillstone.llm.common import bound_batches, materialize, spread
 from rillstone.llm.words import SPACED, mix, slices, span_hashes
 
 TRAIN_DOCS, TRAIN_LINES, SEGMENT = 2000, 300_000, 64

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rillstone.llm.chunk_store import read_store, write_store
-from rillstone.llm.common import materialize, new_folder
+from rillstone.llm.common import materialize, new_folder, spread
 from rillstone.llm.decontaminate import hit_words, with_hits
 from rillstone.llm import license_scan as ls
 from rillstone.llm.knn_join import top_k
@@ -82,7 +82,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Quality score of every document from a field trained on the labels that are not held out."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     score = scorer(train(docs, _table(spark, sf_dir, "labels")))
     return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillstone.llm.common import bound_batches
+from rillstone.llm.common import bound_batches, spread
 
 SPACE = "▁"
 CHUNK_CHARS = 1 << 16
@@ -332,7 +332,7 @@ def token_counts(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_
     executor must be able to open.
     """
     bound_batches(docs.sparkSession)
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    slim = spread(docs).select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     slim = slim.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), "text")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

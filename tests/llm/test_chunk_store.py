@@ -76,3 +76,31 @@ def test_empty_table(spark):
     path = new_folder(spark, "test-store")
     cs.write_store(spark.createDataFrame([], "doc_id long, text string"), path, VOCABULARY)
     assert cs.read_store(spark, path).count() == 0 and cs.restore(spark, path).count() == 0 and cs.verify_store(spark, path) == 0
+
+
+def test_folding_gives_the_root_of_all_levels():
+    for n in [*range(20), 127, 128, 129]:
+        leaves, fold = [bytes([k]) * 16 for k in range(n)], cs.MerkleFold()
+        for leaf in leaves:
+            fold.add(leaf)
+        assert fold.root() == cs.merkle_root(b"".join(leaves)) and len(fold.full) <= 8
+
+
+def test_parts_have_the_roots_of_their_recipes(spark):
+    path = new_folder(spark, "test-store")
+    cs.write_store(spark.createDataFrame([(i, f"text {i}") for i in range(500)], "doc_id long, text string").repartition(3), path, VOCABULARY)
+    parts = {}
+    for r in spark.read.parquet(f"{path}/recipes").orderBy("part", "idx").collect():
+        parts.setdefault(r.part, []).append(bytes(r.root))
+    assert {r.part: bytes(r.root) for r in spark.read.parquet(f"{path}/manifest").collect()} == {p: cs.merkle_root(b"".join(rs)) for p, rs in parts.items()}
+
+
+def test_long_white_space_and_clashing_columns(spark):
+    texts = [" " * 3_000_000, "a" + "\n" * 2_000_000 + "b", "\t \u3000" * 400_000, ("x" + " " * 700) * 300]
+    docs = spark.createDataFrame([(i, t, b"", 1, 2) for i, t in enumerate(texts)], "doc_id long, text string, digest binary, n int, place int")
+    path = new_folder(spark, "test-store")
+    cs.write_store(docs, path, VOCABULARY)
+    library = Tokenizer.from_file(VOCABULARY)
+    want = [np.array([*library.encode(t, add_special_tokens=False).ids, 0], "<u4") for t in texts]
+    got = sorted(map(tuple, cs.read_store(spark, path).collect()))
+    assert [(d, n, c) for d, _, n, c in got] == [(i, len(w), zlib.crc32(w.tobytes())) for i, w in enumerate(want)]

@@ -94,3 +94,12 @@ def test_repeated_and_odd_pieces(spark):
     assert pack(pieces.limit(0), ["doc_id"]).count() == 0
     with pytest.raises(ValueError, match="2 pieces"):
         pack(spark.createDataFrame([(1, 0), (2, None), (3, 5)], "doc_id long, length long"), ["doc_id"])
+
+
+def test_long_white_space_and_clashing_columns(spark, library):
+    texts = [" " * 2_000_000 + "x", "\r\n" * 1_500_000, None]
+    docs = spark.createDataFrame([(i, t, 7, 7, 7) for i, t in enumerate(texts)], "doc_id long, text string, piece int, start int, sequence_id int")
+    got = sorted((r.doc_id, r.start, bytes(r.ids)) for r in cut_documents(docs, VOCABULARY).collect())
+    for i, t in enumerate(texts):
+        whole = b"".join(ids for d, _, ids in got if d == i)
+        assert np.frombuffer(whole, "<u4").tolist() == [*ids_of(library, t), 2]
