@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable
 from dataclasses import dataclass
 from difflib import SequenceMatcher
@@ -82,16 +81,16 @@ def year_points(delta: Column, w: Weights = WEIGHTS) -> Column:
     return F.when(delta == 0, w.same_year).when(delta.between(1, 2), w.near_years).when(delta.between(3, w.horizon), w.far_years).otherwise(F.lit(0.0))
 
 
-def _by_similarity(of: Callable[[float], float | str], kind: str, similarity: Column) -> Column:
-    """A function of the 10,001 similarities of four decimals, computed once on the driver: decimals round by binary value."""
-    table = F.from_json(F.lit(json.dumps([of(n / 10_000) for n in range(10_001)])), f"array<{kind}>")  # folded when planned
+def _by_similarity(of: Callable[[float], float | str], similarity: Column) -> Column:
+    """A function of the 10,001 similarities of four decimals as text, computed once on the driver: decimals round by binary value."""
+    table = F.split(F.lit(" ".join(str(of(n / 10_000)) for n in range(10_001))), " ")  # folded when planned
     return F.get(table, F.round(similarity * 10_000).cast("int"))
 
 
 def candidate_score(delta: Column, ri: Column, scopus: Column, wos: Column, similarity: Column, w: Weights = WEIGHTS) -> Column:
     """Sum of all points, two decimals."""
     part = lambda flag, points: F.when(flag, F.lit(points)).otherwise(F.lit(0.0))
-    title = _by_similarity(lambda s: round(s * w.title, 2), "double", similarity)
+    title = _by_similarity(lambda s: round(s * w.title, 2), similarity).cast("double")
     return F.round(F.lit(w.base) + year_points(delta, w) + part(ri, w.repository) + part(scopus, w.scopus) + part(wos, w.wos) + title, 2)
 
 
@@ -102,7 +101,7 @@ def confidence(score: Column, w: Weights = WEIGHTS) -> Column:
 
 def evidence(delta: Column, ri: Column, scopus: Column, wos: Column, similarity: Column, w: Weights = WEIGHTS) -> Column:
     """The reasons of a score in order, joined by ' | '."""
-    shown = F.concat(F.lit("similitud_tematica_"), _by_similarity(lambda s: f"{s:.2f}", "string", similarity))
+    shown = F.concat(F.lit("similitud_tematica_"), _by_similarity(lambda s: f"{s:.2f}", similarity))
     return F.concat_ws(
         " | ",
         F.lit("responsable_autor"),

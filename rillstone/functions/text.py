@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import sys
 import unicodedata
 from collections.abc import Iterable
@@ -63,10 +62,12 @@ def normalize_text(c: ColumnLike) -> Column:
     """
     old, new, many = _folds()
     upper = F.upper(F.coalesce(_col(c), F.lit("")))
-    table = F.from_json(F.lit(json.dumps(many)), "map<string,string>")
+    table = F.str_to_map(F.lit(";".join(f"{a}:{b}" for a, b in many.items())), F.lit(";"), F.lit(":"))  # folded when planned
+    some = F.length(F.translate(upper, "".join(many), "")) < F.length(upper)  # a regular expression would try one character after another
     spelt = F.array_join(F.transform(F.split(upper, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    folded = F.translate(F.when(upper.rlike("[" + "".join(many) + "]"), spelt).otherwise(upper), old, new)
-    return F.trim(F.regexp_replace(folded, "[^A-Z0-9]+", " "))
+    folded = F.translate(F.when(some, spelt).otherwise(upper), old, new)
+    plain = F.when(upper.rlike(r"[^\x00-\x7F]"), folded).otherwise(upper)
+    return F.trim(F.regexp_replace(plain, "[^A-Z0-9]+", " "))
 
 
 def normalize_doi(c: ColumnLike, wide: bool = False) -> Column:
@@ -98,8 +99,8 @@ def split_list(c: ColumnLike, sep: str = "|", drop: Iterable[str] = ()) -> Colum
 def split_aligned(names: ColumnLike, ids: ColumnLike, sep: str = "|") -> tuple[Column, Column]:
     """The non-blank parts of a list of names, and for each the part at its place in a list of ids; '-' and blanks there are ''."""
     a, b = (F.transform(F.split(F.coalesce(_col(c), F.lit("")), f"[{sep}]"), strip) for c in (names, ids))
-    pairs = F.filter(F.transform(a, lambda x, i: F.struct(x.alias("a"), F.get(b, i).alias("b"))), lambda x: x["a"] != "")
-    return F.transform(pairs, lambda x: x["a"]), F.transform(pairs, lambda x: F.when(x["b"].isNull() | x["b"].isin("-", ""), "").otherwise(x["b"]))
+    pairs = F.filter(F.arrays_zip(a, b), lambda x: F.coalesce(x["0"], F.lit("")) != "")  # fields by position
+    return F.transform(pairs, lambda x: x["0"]), F.transform(pairs, lambda x: F.when(x["1"].isNull() | x["1"].isin("-", ""), "").otherwise(x["1"]))
 
 
 def at(array: Column, position: ColumnLike) -> Column:
