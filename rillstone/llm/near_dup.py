@@ -173,7 +173,7 @@ class _Finder:
         x, y, both = F.size("sa"), F.size("sb"), F.size(F.array_intersect("sa", "sb"))
         paired = likely.join(right, "b").join(left, "a").where(100 * F.least(x, y) >= self.percent * F.greatest(x, y))
         found = paired.where(100 * both >= self.percent * (x + y - both)).select("a", "b")
-        return self.write(found.distinct(), "links")
+        return self.write(found, "links")  # the pairs are distinct; an aggregate here would keep a hub's join from being split
 
     def rest(self, members: DataFrame, parts: DataFrame) -> DataFrame:
         """Links between bucket members in different components, besides those with the hub."""
