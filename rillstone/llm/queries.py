@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from rillstone.llm.chunk_store import read_store, write_store
 from rillstone.llm.common import materialize, new_folder, spread
+from rillstone.llm.conversations import repair_report
 from rillstone.llm.decontaminate import hit_words, with_hits
 from rillstone.llm import license_scan as ls
 from rillstone.llm.knn_join import top_k
@@ -15,6 +16,8 @@ from rillstone.llm.license_texts import TEXTS, notices
 from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import cut_documents, pack
 from rillstone.llm.quality import held_out, scorer, train
+from rillstone.llm.rule_forest import fit, rule_verdicts
+from rillstone.llm.runs import periodic_runs
 from rillstone.llm.sharding import lookup_table, place
 from rillstone.llm.token_counts import token_counts
 from rillstone.llm.warc import read_archive, write_archive
@@ -87,7 +90,59 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", held_out().alias("held_out"), score("text").alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
-QUERIES = {"op1_license_scan": op1_license_scan, "op2_token_counts": op2_token_counts, "op3_sharding": op3_sharding, "op4_exact_top_k": op4_exact_top_k, "op5_best_fit_packing": op5_best_fit_packing, "op6_warc": op6_warc, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination}
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of every document, the base rules' and the forest's verdict."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = rule_verdicts(docs, fit(docs, _table(spark, sf_dir, "labels")))
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~F.col("unusual")).alias("kept"), "anomaly")
+
+
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """``doc_id, text`` of all documents, of which one in ten goes round in a circle from some word on.
+
+    With h the crc32 of the id and g = h div 10, a text of n words with h % 10 = 0 repeats, from word a = g % n on, its
+    words a to a + p, where p = 1 + (n - a) div (3 + g % 8).
+    """
+    h = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(1).cast("long"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    changed = docs.select("doc_id", "text", h.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    placed = changed.withColumn("n", F.size("words")).where("n > 0").withColumn("g", F.expr("h div 10")).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
+    placed = placed.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    head, circle = F.slice("words", F.lit(1), F.col("a")), F.slice("words", F.col("a") + 1, F.col("p"))
+    tail = F.slice(F.flatten(F.array_repeat(circle, F.expr("int((n - a + p - 1) div p)"))), F.lit(1), F.col("n") - F.col("a"))
+    periodic = placed.select("doc_id", F.array_join(F.concat(head, tail), " ").alias("text"))
+    return changed.where("words IS NULL OR size(words) = 0").select("doc_id", "text").unionByName(periodic)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of words in every document, a tenth of which is made periodic, and what is left without repetitions."""
+    found = periodic_runs(made_periodic(_table(spark, sf_dir, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    digested = F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256)
+    rows = found.select("doc_id", F.size("runs").cast("long").alias("n_runs"), best.alias("b"), digested.alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+    longest = [(-F.col("b.start")).alias("start"), F.col("b.length").alias("length"), (-F.col("b.period")).alias("period")]
+    return rows.select("doc_id", "n_runs", *longest, F.expr("1000 * b.length div -b.period").alias("exponent_milli"), "runs_sha256", "collapsed_sha256")
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """``conv_id, turn, role, text, present``: conversations with faults, one row in four or so; dropped rows aren't ``present``."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    known = rows.select("conv_id", "turn", text("role").alias("role"), text("text").alias("text"), fault.alias("fault"))
+    role = F.when(F.col("fault") == 4, "user").otherwise(F.col("role"))
+    changed = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    hurt = known.select("conv_id", "turn", role.alias("role"), changed.alias("text"), "fault", (F.col("fault") != 0).alias("present"))
+    return hurt.withColumn("copy", F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("fault", "copy")
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults and cheapest repair of every conversation, after damage."""
+    return repair_report(damaged(_table(spark, sf_dir, "conversations")), present=F.col("present"))
+
+
+QUERIES = {"op1_license_scan": op1_license_scan, "op2_token_counts": op2_token_counts, "op3_sharding": op3_sharding, "op4_exact_top_k": op4_exact_top_k, "op5_best_fit_packing": op5_best_fit_packing, "op6_warc": op6_warc, "op7_near_duplicates": op7_near_duplicates, "op8_chunk_store": op8_chunk_store, "op9_quality": op9_quality, "op10_decontamination": op10_decontamination, "op11_quality_rules": op11_quality_rules, "op12_periodic_runs": op12_periodic_runs, "op13_conversation_repair": op13_conversation_repair}
 
 
 def _quoted(text: str) -> str:
@@ -145,10 +200,45 @@ _LEAK_SQL = f"""
     FROM d LEFT JOIN k ON k.doc_id = d.doc_id LEFT JOIN g ON g.doc_id = d.doc_id"""
 
 
+_CRC_SQL = """list_reduce([4294967295] || [ord(c)::BIGINT FOR c IN string_split({text}, '')],
+        lambda crc, byte: xor(crc >> 8, list_reduce([xor(crc, byte) & 255] || range(8), lambda x, bit: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)))"""
+_REPAIR_SQL = f"""
+    WITH RECURSIVE k AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+        xor({_CRC_SQL.format(text="concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")}, 4294967295) % 20 AS f FROM conversations),
+    d AS (SELECT conv_id, turn, CASE WHEN f = 4 THEN 'user' ELSE role END AS role, CASE WHEN f = 1 THEN '' WHEN f = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+        unnest(CASE WHEN f = 3 THEN [0, 1] ELSE [0] END) AS copy FROM k WHERE f <> 0),
+    o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i FROM d),
+    e AS (SELECT *, regexp_extract(text, '([^\\x20\\x09-\\x0D])[\\x20\\x09-\\x0D]*$', 1) AS ending, row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 AS again, substr(role, 1, 1) AS c,
+        lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY i) AS c0 FROM o),
+    g AS MATERIALIZED (SELECT *, CASE WHEN ending = '' THEN 'blank' WHEN again THEN 'duplicate' WHEN ending NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS fault FROM e),
+    n AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count_if(fault = 'blank') AS blank, count_if(fault = 'duplicate') AS duplicate, count_if(fault = 'truncated') AS truncated,
+        count_if(c0 IS NOT NULL AND concat(c0, c) NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS rows FROM g GROUP BY conv_id),
+    p AS (SELECT conv_id, CAST(0 AS BIGINT) AS i, 0 AS s, {{'cost': 0, 'audit': '', 'lines': CAST([] AS VARCHAR[])}} AS b FROM n
+        UNION ALL
+        SELECT conv_id, i, s, min({{'cost': cost, 'audit': audit, 'lines': lines}}) AS b FROM (
+            SELECT m.conv_id, g.i, x.cost + y[1]::INT AS cost, x.audit || y[2] AS audit, CASE WHEN y[4] = '-' THEN x.lines ELSE list_append(x.lines, y[4] || ':' || g.text) END AS lines, y[3]::INT AS s
+            FROM (SELECT conv_id, i, unnest([{{'s': s, 'cost': b.cost, 'audit': b.audit, 'lines': b.lines}},
+                        {{'s': [2, 2, 3, 2][s + 1], 'cost': b.cost + 2, 'audit': b.audit || 'I', 'lines': list_append(b.lines, CASE WHEN s = 2 THEN 'assistant:' ELSE 'user:' END)}},
+                        {{'s': [3, 3, 2, 3][s + 1], 'cost': b.cost + 4, 'audit': b.audit || 'II', 'lines': b.lines || CASE WHEN s = 2 THEN ['assistant:', 'user:'] ELSE ['user:', 'assistant:'] END}}]) AS x FROM p) AS m
+            JOIN g ON g.conv_id IS NOT DISTINCT FROM m.conv_id AND g.i = m.i + 1,
+            unnest([['3', 'D', CAST(x.s AS VARCHAR), '-']]
+                || CASE WHEN fault IN ('blank', 'duplicate') THEN [] ELSE [[CAST(2 + CAST(fault = 'truncated' AS INT) AS VARCHAR), 'R', CASE WHEN x.s = 2 THEN '3' ELSE '2' END, CASE WHEN x.s = 2 THEN 'assistant' ELSE 'user' END]] END
+                || CASE WHEN fault IN ('blank', 'duplicate') OR NOT ((c = 's' AND x.s = 0) OR (c = 'u' AND x.s <> 2) OR (c = 'a' AND x.s = 2)) THEN []
+                   ELSE [[CAST(CAST(fault = 'truncated' AS INT) AS VARCHAR), 'K', CASE c WHEN 's' THEN '1' WHEN 'u' THEN '2' ELSE '3' END, role]] END) AS z(y)) AS options
+        GROUP BY conv_id, i, s),
+    w AS (SELECT p.conv_id, min({{'cost': b.cost + [0, 4, 2, 0][s + 1], 'audit': b.audit || ['', 'II', 'I', ''][s + 1],
+        'lines': b.lines || [CAST([] AS VARCHAR[]), ['user:', 'assistant:'], ['assistant:'], CAST([] AS VARCHAR[])][s + 1]}}) AS b
+        FROM p JOIN n ON n.conv_id IS NOT DISTINCT FROM p.conv_id AND p.i = n.rows GROUP BY p.conv_id)
+    SELECT a.conv_id, coalesce(gaps, 0) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank, CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated, CAST(coalesce(illegal, 0) AS BIGINT) AS illegal,
+        CAST(coalesce(w.b.cost, 0) AS BIGINT) AS cost, coalesce(w.b.audit, '') AS audit, sha256(coalesce(array_to_string(w.b.lines, chr(10)), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) AS a LEFT JOIN n ON n.conv_id IS NOT DISTINCT FROM a.conv_id LEFT JOIN w ON w.conv_id IS NOT DISTINCT FROM a.conv_id"""
+
+
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE_SQL: dict[str, str] = {
     "op7_near_duplicates": _NEAR_SQL,
     "op10_decontamination": _LEAK_SQL,
+    "op13_conversation_repair": _REPAIR_SQL,
     "op1_license_scan": _license_sql(),
     "op3_sharding": _sharding_sql(),
     "op4_exact_top_k": """

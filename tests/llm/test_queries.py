@@ -21,13 +21,16 @@ COLUMNS = {
     "op8_chunk_store": {"doc_id", "start", "n_tokens", "ids_crc32"},
     "op9_quality": {"doc_id", "held_out", "score", "predicted"},
     "op10_decontamination": {"doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"},
+    "op11_quality_rules": {"doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"},
+    "op12_periodic_runs": {"doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"},
+    "op13_conversation_repair": {"conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"},
 }
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_same_as_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings", "benchmark"):
+    for t in ("documents", "pages", "embeddings", "benchmark", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     want = con.sql(ORACLE_SQL[name])
     got = QUERIES[name](spark, DATA)
@@ -36,8 +39,8 @@ def test_same_as_sql(spark, name):
     assert sorted(map(str, (tuple(r[c] for c in cols) for r in got.collect()))) == sorted(str(r) for r in want.select(*cols).fetchall())
 
 
-def test_ten_operators_and_their_columns(spark):
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+def test_operators_and_their_columns(spark):
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
     for name, columns in COLUMNS.items():
         if name not in ORACLE_SQL and name != "op7_near_duplicates":
             assert columns <= set(QUERIES[name](spark, "/root/testdata/sf0.001").columns)
