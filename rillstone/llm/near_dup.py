@@ -143,7 +143,7 @@ class _Finder:
         keys = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.xxhash64(i, F.substring("signature", i * 4 * ROWS + 1, F.lit(4 * ROWS))))
         rows = self.signed.select("doc_id", F.explode(keys).alias("bucket"))
         hubs = rows.groupBy("bucket").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("last")).where("hub < last").drop("last")
-        return self.write(rows.join(hubs, "bucket"), "buckets")
+        return self.write(rows.join(self.write(hubs, "hubs"), "bucket"), "buckets")  # written, so that a large bucket's join can be split
 
     def likely(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) that their signatures do not rule out."""
@@ -179,7 +179,7 @@ class _Finder:
         """Links between bucket members in different components, besides those with the hub."""
         labelled = members.where("doc_id > hub").join(parts.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("bucket", "doc_id", F.coalesce("component", "doc_id").alias("part"))
         mixed = labelled.groupBy("bucket").agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n")).where("low < high")
-        open_ = self.write(labelled.join(mixed.select("bucket", "n"), "bucket"), "open-buckets")
+        open_ = self.write(labelled.join(self.write(mixed.select("bucket", "n"), "mixed-buckets"), "bucket"), "open-buckets")
         small = open_.where(F.col("n") <= SMALL_BUCKET)
         other = small.select("bucket", F.col("doc_id").alias("b"), F.col("part").alias("other"))
         pairs = small.join(other, "bucket").where("doc_id < b and part != other").select(F.col("doc_id").alias("a"), "b")

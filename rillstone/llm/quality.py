@@ -6,8 +6,8 @@ of being good; their mean weighted by line length, put through a fitted logistic
 
 Training: lines of a labelled document carry its label. At most ``TRAIN_DOCS`` labelled documents are used, those of
 smallest hash, and of these as many as have ``TRAIN_LINES`` lines together (the first always): both bound what the
-driver gathers. Each of them is used with all its lines; for the gradient long chains are cut every ``SEGMENT`` lines,
-so that only the transition over a cut isn't learned from. Scoring reads whole texts as whole chains.
+driver gathers. Each of them is used with all its lines as one whole chain; the recursion runs over segments of
+``SEGMENT`` lines at once, whose products of transitions carry it from one to the next. Scoring reads whole texts as whole chains, too.
 
 Results: one score per row. A text without a line (null, empty, blank) scores as the trained share of good documents.
 Labels that are null or not 0 or 1 are left out, repeated labels count as often as they stand. Without labels of both
@@ -86,23 +86,37 @@ def line_features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     return out, ends - starts, first
 
 
-def marginals(unary: np.ndarray, first: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _factors(unary: np.ndarray) -> np.ndarray:
+    """A line's factors of bad and good."""
+    top = np.maximum(unary, 0)
+    return np.stack([np.exp(-top), np.exp(unary - top)], 1)
+
+
+def _alive(first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Chains by length, longest first: their order, first lines, and how many are longer than t, for every t."""
+    lengths = np.diff(first)
+    order = np.argsort(-lengths, kind="stable")
+    steps = lengths[order]
+    return order, first[:-1][order], np.searchsorted(-steps, -np.arange(steps[0] if len(steps) else 0), "left")
+
+
+def marginals(unary: np.ndarray, first: np.ndarray, trans: np.ndarray, enter: np.ndarray | None = None, leave: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Each line's probability of being good, and the forward and backward vectors (the latter with the line's own factor).
 
     ``unary`` is a line's score of good over bad; ``trans`` the 2 x 2 scores of neighbouring labels; ``first`` parts the
-    lines into chains. All chains advance together, the longest last.
+    lines into chains. All chains advance together, the longest last. ``enter`` and ``leave``: the factors that come
+    from outside before a chain's first line and after its last.
     """
-    m, lengths = len(unary), np.diff(first)
-    order = np.argsort(-lengths, kind="stable")
-    begin, steps = first[:-1][order], lengths[order]
-    alive = np.searchsorted(-steps, -np.arange(steps[0] if len(steps) else 0), "left")  # chains longer than t
+    m = len(unary)
+    order, begin, alive = _alive(first)
     move = np.exp(trans)
-    top = np.maximum(unary, 0)
-    phi = np.stack([np.exp(-top), np.exp(unary - top)], 1)
+    phi = _factors(unary)
     forward, back = np.zeros((m, 2)), np.ones((m, 2))
+    if leave is not None:
+        back[first[1:] - 1] = leave
     for t, k in enumerate(alive.tolist()):
         at = begin[:k] + t
-        a = phi[at] if not t else forward[at - 1] @ move * phi[at]
+        a = forward[at - 1] @ move * phi[at] if t else phi[at] if enter is None else phi[at] * enter[order]
         forward[at] = a / a.sum(1)[:, None]
     for t in range(len(alive) - 2, -1, -1):
         at = begin[: alive[t + 1]] + t
@@ -112,6 +126,45 @@ def marginals(unary: np.ndarray, first: np.ndarray, trans: np.ndarray) -> tuple[
     return both[:, 1] / both.sum(1), forward, phi * back
 
 
+def long_marginals(unary: np.ndarray, first: np.ndarray, trans: np.ndarray, segment: int = SEGMENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``marginals`` of whole chains (none empty), in as many steps as a segment has lines and a chain has segments."""
+    cuts = np.unique(np.concatenate([np.arange(a, b, segment) for a, b in zip(first[:-1], first[1:], strict=True)] + [first[-1:]]))
+    chain = np.searchsorted(cuts, first)  # each chain's first segment
+    phi, move = _factors(unary), np.exp(trans)
+    order, begin, alive = _alive(cuts)
+    product = np.broadcast_to(np.eye(2), (len(begin), 2, 2)).copy()  # of a segment's lines, from the label before it
+    for t, k in enumerate(alive.tolist()):
+        p = product[order[:k]] @ move * phi[begin[:k] + t][:, None, :]
+        product[order[:k]] = p / p.sum((1, 2))[:, None, None]
+    enter, leave = np.ones((len(begin), 2)), np.ones((len(begin), 2))
+    _, head, many = _alive(chain)
+    state = np.zeros((len(begin), 2))
+    for t, k in enumerate(many.tolist()):
+        at = head[:k] + t
+        if t:
+            enter[at] = state[at - 1] @ move
+            a = (state[at - 1][:, None, :] @ product[at])[:, 0]
+        else:  # no label before the first line
+            a = _first_segments(phi, move, cuts, at)
+        state[at] = a / a.sum(1)[:, None]
+    for t in range(len(many) - 2, -1, -1):
+        at = head[: many[t + 1]] + t
+        b = (product[at + 1] @ leave[at + 1][:, :, None])[:, :, 0]
+        leave[at] = b / b.sum(1)[:, None]
+    return marginals(unary, cuts, trans, enter, leave)
+
+
+def _first_segments(phi: np.ndarray, move: np.ndarray, cuts: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Forward vectors at the ends of chains' first segments."""
+    size = cuts[at + 1] - cuts[at]
+    a = phi[cuts[at]]
+    for t in range(1, int(size.max())):
+        more = np.flatnonzero(size > t)
+        b = a[more] @ move * phi[cuts[at[more]] + t]
+        a[more] = b / b.sum(1)[:, None]
+    return a
+
+
 @dataclass
 class Crf:
     """Weights of a trained field; ``curve`` turns a document's weighted mean into its score."""
@@ -151,10 +204,9 @@ def fit(chains: list[np.ndarray], sizes: list[np.ndarray], labels: np.ndarray, r
     y = np.repeat(labels[used], lines).astype(np.float64)
     doc = np.repeat(np.arange(len(used)), lines)
     begin = np.concatenate(([0], np.cumsum(lines)))
-    cuts = np.unique(np.concatenate([np.arange(a, b, SEGMENT) for a, b in zip(begin[:-1], begin[1:], strict=True)] + [begin[-1:]]))
     weight = 1 / lines[doc] / len(used)
     inner = np.ones(len(x), bool)
-    inner[cuts[:-1]] = False
+    inner[begin[:-1]] = False
     seen = np.zeros((2, 2))
     np.add.at(seen, (y[np.flatnonzero(inner) - 1].astype(int), y[inner].astype(int)), weight[inner])
     w, trans = np.zeros(WIDTH), np.zeros((2, 2))
@@ -163,7 +215,7 @@ def fit(chains: list[np.ndarray], sizes: list[np.ndarray], labels: np.ndarray, r
     for step in range(1, rounds + 1):
         w, trans = params[:WIDTH], params[WIDTH:].reshape(2, 2)
         unary = x @ w
-        p, forward, back = marginals(unary, cuts, trans)
+        p, forward, back = long_marginals(unary, begin, trans)
         grad_w = x.T @ ((p - y) * weight) + decay * w
         both = forward[np.flatnonzero(inner) - 1][:, :, None] * np.exp(trans) * back[inner][:, None, :]
         pair = (both * (weight[inner] / both.sum((1, 2)))[:, None, None]).sum(0)
@@ -171,7 +223,7 @@ def fit(chains: list[np.ndarray], sizes: list[np.ndarray], labels: np.ndarray, r
         m1, m2 = 0.9 * m1 + 0.1 * grad, 0.99 * m2 + 0.01 * grad * grad
         params = params - 0.1 * (m1 / (1 - 0.9**step)) / (np.sqrt(m2 / (1 - 0.99**step)) + 1e-8)
     w, trans = params[:WIDTH].copy(), params[WIDTH:].reshape(2, 2).copy()
-    p = marginals(x @ w, begin, trans)[0]
+    p = long_marginals(x @ w, begin, trans)[0]
     size = np.concatenate([sizes[k] for k in used]).astype(np.float64)
     mean = np.bincount(doc, p * size) / np.bincount(doc, size)
     return Crf(w, trans, _logistic(mean, labels[used]), share)

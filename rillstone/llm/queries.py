@@ -106,13 +106,11 @@ def made_periodic(docs: DataFrame) -> DataFrame:
     """
     h = F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(1).cast("long"))
     words = F.filter(F.split(F.coalesce("text", F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-    changed = docs.select("doc_id", "text", h.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words))
-    placed = changed.withColumn("n", F.size("words")).where("n > 0").withColumn("g", F.expr("h div 10")).withColumn("a", (F.col("g") % F.col("n")).cast("int"))
-    placed = placed.withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
+    rows = docs.select("doc_id", "text", h.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words)).withColumn("n", F.expr("nullif(size(words), 0)"))
+    rows = rows.withColumn("g", F.expr("h div 10")).withColumn("a", F.expr("int(g % n)")).withColumn("p", F.expr("int(1 + (n - a) div (3 + g % 8))"))
     head, circle = F.slice("words", F.lit(1), F.col("a")), F.slice("words", F.col("a") + 1, F.col("p"))
     tail = F.slice(F.flatten(F.array_repeat(circle, F.expr("int((n - a + p - 1) div p)"))), F.lit(1), F.col("n") - F.col("a"))
-    periodic = placed.select("doc_id", F.array_join(F.concat(head, tail), " ").alias("text"))
-    return changed.where("words IS NULL OR size(words) = 0").select("doc_id", "text").unionByName(periodic)
+    return rows.select("doc_id", F.when(F.col("n") > 0, F.array_join(F.concat(head, tail), " ")).otherwise(F.col("text")).alias("text"))
 
 
 def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:

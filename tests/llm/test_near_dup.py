@@ -110,3 +110,36 @@ def test_rare_pairs_lose_no_link(spark, percent):
     standing = {r.doc_id for r in finder.signed.collect()}
     linked = {(i, j) for i in standing for j in standing if i < j and 100 * len(sets[i] & sets[j]) >= percent * len(sets[i] | sets[j])}
     assert len(linked) > 20 and linked <= found
+
+
+def final_plans(spark, since):
+    """The plans, as adaptive execution left them, of the executions after the first ``since``."""
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return [found.apply(i).physicalPlanDescription() for i in range(since, found.size())]
+
+
+def test_joins_of_one_large_group_are_split(spark):
+    """A group of near copies that holds nearly all rows: its buckets' and its hub's joins are dealt over tasks."""
+    lowered = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6",
+    }
+    before = {k: spark.conf.get(k) for k in lowered}
+    for k, v in lowered.items():
+        spark.conf.set(k, v)
+    try:
+        words = " ".join(f"w{i}" for i in range(200))
+        rows = [(i, f"{words} x{i}") for i in range(1200)] + [(i, f"{i} alone y{i}") for i in range(1200, 1300)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        seen = spark._jsparkSession.sharedState().statusStore().executionsCount()
+        found = {r.doc_id: r.component_id for r in nd.near_duplicates(docs, shingle_words=2).collect()}
+        assert found == {i: 0 if i < 1200 else i for i, _ in rows}
+        split = [p for p in final_plans(spark, seen) if "skew=true" in p]
+        assert any("bucket" in p for p in split), "joins on buckets"
+        star = spark.range(1, 20_000).selectExpr("id AS b", "CASE WHEN id < 19990 THEN 0 ELSE id - 1 END AS a")
+        seen = spark._jsparkSession.sharedState().statusStore().executionsCount()
+        assert connected_components(star).select("component").distinct().count() == 1
+        assert sum("skew=true" in p for p in final_plans(spark, seen)) >= 2, "joins of stars"
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from rillstone.llm.quality import WIDTH, fit, held_out, line_features, line_labels, marginals, scorer, train
+from rillstone.llm.quality import WIDTH, fit, held_out, line_features, line_labels, long_marginals, marginals, scorer, train
 from rillstone.llm.words import slices
 
 DATA = "/root/testdata/sf0.01"
@@ -64,3 +64,13 @@ def test_odd_rows(spark):
     assert [r[0] for r in docs.select(scorer(none)("text")).collect()] == [0.5] * 5
     assert docs.limit(0).select(scorer(model)("text")).count() == 0
     assert fit([np.ones((2, WIDTH), np.float32)], [np.ones(2, np.int64)], np.array([1])).empty == 1.0
+
+
+def test_whole_chains_in_segments():
+    rng = np.random.Generator(np.random.PCG64(3))
+    first = np.concatenate(([0], np.cumsum([1, 7, 64, 65, 300, 2, 128])))
+    unary, trans = rng.normal(0, 3, first[-1]), rng.normal(0, 2, (2, 2))
+    for segment in (1, 3, 64):
+        for got, want in zip(long_marginals(unary, first, trans, segment), marginals(unary, first, trans), strict=True):
+            got, want = (x / x.sum(-1, keepdims=True) if x.ndim == 2 else x for x in (got, want))  # vectors up to their scale
+            assert np.allclose(got, want, atol=1e-9)
