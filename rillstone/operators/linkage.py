@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -124,10 +128,7 @@ def candidate_links(projects: DataFrame, authored: DataFrame, horizon: int = sim
     titled = ("project_title_norm" in projects.columns, "publication_title_norm" in authored.columns)
     if any(titled) and not all(titled):
         raise ValueError("titles are compared if both project_title_norm and publication_title_norm are given")
-    delta = F.col("publication_year") - F.col("project_year")
-    near = F.col("publication_year").isNull() | F.col("project_year").isNull() | delta.between(0, horizon)
-    known = authored.where(F.col("publication_id").isNotNull())
-    pairs = projects.where(F.col("coordinator_norm") != "").join(known, (F.col("coordinator_norm") == F.col("author_name_norm")) & near)
+    pairs = _same_name_and_years(projects.where(F.col("coordinator_norm") != ""), authored.where(F.col("publication_id").isNotNull()), horizon)
     keep = [c for c in pairs.columns if c not in ("project_id", "publication_id", "author_name_raw", "auth_seq", "author_name_norm")]
     once = pairs.groupBy("project_id", "publication_id").agg(F.min_by("author_name_raw", "auth_seq").alias("matched_author"), *(F.first(c).alias(c) for c in keep))
     dated = once.withColumn("year_delta", F.col("publication_year") - F.col("project_year"))
@@ -136,6 +137,23 @@ def candidate_links(projects: DataFrame, authored: DataFrame, horizon: int = sim
     return with_score(sim.with_title_score(dated, "project_title_norm", "publication_title_norm", "project_tokens", "publication_tokens"))
 
 
+def _same_name_and_years(projects: DataFrame, authored: DataFrame, horizon: int) -> DataFrame:
+    """Pairs of one name, the publication from the project's year to ``horizon`` years on, or one of them undated.
+
+    Years are cut into bands of ``horizon`` + 1; a project looks into its own, the next and the undated publications'
+    band. So a common name's pairs meet within the years only, and its rows are dealt by name and band.
+    """
+    band = lambda c: F.floor(F.col(c) / F.lit(horizon + 1)).cast("int")
+    undated = F.lit(-1 << 30)
+    published = authored.withColumn("__band", F.coalesce(band("publication_year"), undated))
+    dated = projects.where("project_year IS NOT NULL")
+    looked = dated.withColumn("__look", F.explode(F.array(band("project_year"), band("project_year") + 1, undated)))
+    near = F.col("publication_year").isNull() | (F.col("publication_year") - F.col("project_year")).between(0, horizon)
+    same = F.col("coordinator_norm") == F.col("author_name_norm")
+    pairs = looked.join(published, same & (F.col("__look") == F.col("__band")) & near).drop("__look", "__band")
+    return pairs.unionByName(projects.where("project_year IS NULL").join(authored, same))
+
+
 def with_score(pairs: DataFrame) -> DataFrame:
     """``pairs`` (year_delta, ri, scopus, wos, title_similarity) with score, confidence and evidence."""
     args = [F.col(c) for c in ("year_delta", "ri", "scopus", "wos", "title_similarity")]
@@ -149,11 +167,63 @@ def direct_links(results: DataFrame, projects: DataFrame, publications: DataFram
     return results.join(by_code, "code").join(by_doi, "doi").select("project_id", "publication_id").distinct()
 
 
-def containment(probes: DataFrame, masters: DataFrame, a: str, b: str, order: str, most: int = 5) -> DataFrame:
-    """For the first ``most`` probes: the first master (by ``order``) that contains the probe or is contained in it.
+#: Bytes of probes that one pass over the masters searches for; they are broadcast. More make further passes.
+PASS_BYTES = 16 << 20
+#: Characters by whose first ones a master inside a probe is looked up.
+GRAM = 8
+
+
+def containment(probes: DataFrame, masters: DataFrame, a: str, b: str, order: str, most: int | None = None) -> DataFrame:
+    """For each probe: the first master (by ``order``) that contains the probe or is contained in it.
 
-    ``most`` bounds the broadcast side; blank texts match nothing.
+    Probes are found in the masters by an automaton, masters in the probes by their first characters and a comparison;
+    no pair of texts is formed that has nothing in common. ``most`` takes the first probes only, as a report may; blank
+    texts match nothing.
     """
-    few = F.broadcast(probes.where(F.col(a) != "").orderBy(a).limit(most))
-    hits = masters.where(F.col(b) != "").join(few, F.contains(F.col(b), F.col(a)) | F.contains(F.col(a), F.col(b)))
-    return hits.groupBy(a).agg(F.min_by(b, order).alias(b), F.min(order).alias(order))
+    spark = masters.sparkSession
+    wanted = probes.where(F.col(a) != "").select(F.col(a).alias("probe")).distinct()
+    wanted = wanted.orderBy("probe").limit(most) if most is not None else wanted
+    size = wanted.agg(F.sum(F.octet_length("probe"))).first()[0] or 0
+    passes = -(-size // PASS_BYTES)
+    texts = masters.where(F.col(b) != "").select(F.col(b).alias("master"), F.col(order).alias("place"))
+    kind = texts.schema["place"].dataType.simpleString()
+    hits = None
+    for k in range(passes):
+        few = wanted if passes == 1 else wanted.where(F.pmod(F.xxhash64("probe"), F.lit(passes)) == k)
+        known = spark.sparkContext.broadcast(sorted(r.probe for r in few.collect()))  # about PASS_BYTES
+        found = texts.mapInArrow(_contained(known), f"probe string, master string, place {kind}")
+        hits = found if hits is None else hits.unionByName(found)
+    if hits is None:
+        hits = texts.limit(0).select(F.lit("").alias("probe"), "master", "place")
+    return hits.groupBy(F.col("probe").alias(a)).agg(F.min_by("master", "place").alias(b), F.min("place").alias(order))
+
+
+def _contained(known: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Task function: (master, place) to (probe, master, place) of the probes that it contains or that contain it."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        probes = known.value
+        inside = ahocorasick.Automaton()
+        holders: dict[str, set[int]] = {}
+        for k, probe in enumerate(probes):
+            inside.add_word(probe, k)
+            for i in range(len(probe) - GRAM + 1):
+                holders.setdefault(probe[i : i + GRAM], set()).add(k)
+        inside.make_automaton()
+        longest = max(map(len, probes), default=0)
+        for batch in batches:
+            rows, which = [], []
+            for at, master in enumerate(batch.column("master").to_pylist()):
+                found = {k for _, k in inside.iter(master)}
+                if len(master) < GRAM:
+                    found |= {k for k, probe in enumerate(probes) if master in probe}
+                elif len(master) <= longest:
+                    found |= {k for k in holders.get(master[:GRAM], ()) if master in probes[k]}
+                rows += [at] * len(found)
+                which += [probes[k] for k in found]
+            taken = batch.take(pa.array(rows, pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(which, pa.string()), taken.column("master"), taken.column("place")], names=["probe", "master", "place"])
+
+    return find

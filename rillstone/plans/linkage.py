@@ -18,6 +18,8 @@ from rillstone.operators import linkage as ln
 from rillstone.operators import metrics as mt
 from rillstone.operators import semantic as sm
 from rillstone.operators.numbering import first_n, number_rows
+from rillstone.storage import new_folder
+from rillstone.streaming import cache
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -56,7 +58,7 @@ def identifier_normalize_wide(spark, d):
 def work_queries(spark, d):
     docs = _t(spark, d, "documents")
     doi = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("10.1/AB"), F.col("doc_id"))).otherwise("-")
-    return docs.select("doc_id", tx.cache_key(doi, F.col("text")).alias("key"), tx.work_query(doi, F.lit("A study about open science")).alias("url"))
+    return docs.select("doc_id", tx.cache_key(doi, F.col("text")).alias("key"), tx.work_query(doi, F.col("text")).alias("url"))
 
 
 @_query
@@ -318,10 +320,14 @@ def json_extract(spark, d):
     return _t(spark, d, "events").select("event_id", p["k"].alias("k"), F.coalesce(p["k"].cast("string"), F.lit("")).alias("k_text"))
 
 
-def _changes(spark, d):
+def _changed(events):
     key = F.concat_ws(":", F.col("user_id").cast("string"), "event_type")
     error = F.when(F.col("event_type") == "error", F.when(F.col("event_id") % 2 == 0, "HTTP Error 429: Too Many Requests").otherwise("HTTP Error 404")).otherwise("")
-    return _t(spark, d, "events").select(key.alias("key"), F.col("event_id").alias("seq"), "value", error.alias("error"))
+    return events.select(key.alias("key"), F.col("event_id").alias("seq"), "value", error.alias("error"))
+
+
+def _changes(spark, d):
+    return _changed(_t(spark, d, "events"))
 
 
 @_query
@@ -329,6 +335,19 @@ def cache_compact(spark, d):
     return en.compact_cache(en.cacheable(_changes(spark, d), "error"), "key", "seq", ["value", "seq"])
 
 
+@_query
+def cache_stream(spark, d):
+    """``cache_compact`` by a stream over the events, the last record of each key being its state."""
+    folder = new_folder(spark, "cache-stream")
+    events = spark.readStream.schema(_t(spark, d, "events").schema).parquet(f"{d}/events.parquet*")
+    query = cache.latest_stream(_changed(events), f"{folder}/answers", f"{folder}/checkpoint", "key", "seq", ["value", "seq"], "error")
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    rows = spark.read.schema("key string, value double, seq long, batch long").parquet(f"{folder}/answers")
+    return en.compact_cache(rows, "key", "batch", ["value", "seq"])
+
+
 @_query
 def cache_pending(spark, d):
     changes = _changes(spark, d)
@@ -344,8 +363,11 @@ def repair_overlay(spark, d):
 
 @_query
 def column_classes(spark, d):
-    names = ["project_id", "result_title", "publication_id", "openalex_cited_by_count", "resumen", "resumen_id", "palabras_clave", "fuente_resumen", "match_method", "doi_norm", "totally_unknown"]
-    return spark.range(1).select(F.explode(F.array(*map(F.lit, names))).alias("name")).select("name", tx.column_class("name").alias("kind"))
+    """Classes of column names that are made of the events' kinds, users and numbers."""
+    k, kind = F.col("user_id") % 9, F.col("event_type")
+    name = F.when(k == 0, F.concat(F.lit("openalex_"), kind)).when(k == 1, F.concat(F.lit("resumen_"), F.col("event_id"))).when(k == 2, "palabras_clave").when(k == 3, F.concat(F.lit("fuente_"), kind))
+    name = name.when(k == 4, "project_title").when(k == 5, "result_type").when(k == 6, "match_method").when(k == 7, F.concat(kind, F.lit("_resumen"))).otherwise(kind)
+    return _t(spark, d, "events").select("event_id", name.alias("name")).select("event_id", "name", tx.column_class("name").alias("kind"))
 
 
 @_query

@@ -136,16 +136,13 @@ _STAGES = ["true", "user_id % 10 <> 0", "event_type <> 'click'", "CAST(json_extr
 _LABELS = ["all rows", "with code", "maps", "with key", "matched"]
 _FUNNEL = " UNION ALL ".join(f"SELECT {k} AS stage, '{_LABELS[k]}' AS label, count(*) FILTER ({' AND '.join(f'coalesce({c}, false)' for c in _STAGES[: k + 1])}) AS n FROM events" for k in range(5))
 _LEVELS = {"overall": "c IS NOT NULL", "high": "c = 'Alta'", "medium": "c = 'Media'", "high_medium": "c IN ('Alta', 'Media')"}
-_NAMES = "project_id result_title publication_id openalex_cited_by_count resumen resumen_id palabras_clave fuente_resumen match_method doi_norm totally_unknown".split()
-_KINDS = "proyecto vri matching openalex resumenes resumenes resumenes resumenes matching vri otro".split()
-
 ORACLE_SQL: dict[str, str] = {
     "text_normalize": f"SELECT doc_id, {_norm('text')} AS text_norm FROM documents",
     "identifier_normalize": f"WITH r AS (SELECT page_id, {_RAW} AS raw FROM pages) SELECT page_id, {_doi('raw')} AS doi_norm FROM r",
     "identifier_normalize_wide": f"WITH r AS (SELECT page_id, {_RAW} AS raw FROM pages) SELECT page_id, {_doi_wide('raw')} AS doi_norm FROM r",
-    "work_queries": f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '10.1/ab' || doc_id ELSE '' END AS doi, lower(regexp_replace({_strip("text")}, '\\s+', ' ', 'g')) AS t FROM documents)
+    "work_queries": f"""WITH r AS (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '10.1/ab' || doc_id ELSE '' END AS doi, {_strip("coalesce(text, '')")} AS bare, lower(regexp_replace({_strip("coalesce(text, '')")}, '\\s+', ' ', 'g')) AS t FROM documents)
         SELECT doc_id, CASE WHEN doi <> '' THEN 'doi:' || doi WHEN t NOT IN ('', '-', 'nan', 'none') THEN 'title:' || t ELSE '' END AS key,
-        CASE WHEN doi <> '' THEN 'https://api.openalex.org/works/doi:' || doi ELSE 'https://api.openalex.org/works?search.exact=A%20study%20about%20open%20science&per-page=1' END AS url FROM r""",
+        CASE WHEN doi <> '' THEN 'https://api.openalex.org/works/doi:' || doi WHEN bare <> '' THEN 'https://api.openalex.org/works?search.exact=' || replace(url_encode(bare), '%2F', '/') || '&per-page=1' ELSE '' END AS url FROM r""",
     "name_aliases": f"""SELECT c_custkey, {_norm("c_mktsegment || ', ' || c_name")} AS alias_norm FROM customer UNION SELECT c_custkey, {_norm("c_name || ' ' || c_mktsegment")} FROM customer""",
     "split_authors": f"""WITH w AS (SELECT doc_id, [x FOR x IN [{_strip('y')} FOR y IN string_split(replace(text, ' ', '|'), '|')] IF x <> ''] AS a FROM documents),
         e AS (SELECT doc_id, unnest(range(1, len(a) + 1)) AS i, a FROM w) SELECT doc_id, CAST(i AS INTEGER) AS author_order, a[i] AS author FROM e""",
@@ -196,7 +193,7 @@ ORACLE_SQL: dict[str, str] = {
         SELECT stage, label, n, {_pct('n', 'base')} AS pct, prev - n AS loss, CASE WHEN prev IS NOT NULL THEN {_pct('(prev - n)', 'prev')} END AS loss_pct FROM b""",
     "identifier_coverage": """WITH e AS (SELECT CAST(json_extract_string(props, '$.k') AS INTEGER) > 50 AS a, value > 20.0 AS b FROM events)
         SELECT count(*) AS n, count(*) FILTER (a) AS with_a, count(*) FILTER (b) AS with_b, count(*) FILTER (a AND b) AS with_both FROM e""",
-    "partial_containment": """WITH p AS (SELECT DISTINCT probe FROM (SELECT text AS probe FROM benchmark WHERE text <> '' ORDER BY 1 LIMIT 5))
+    "partial_containment": """WITH p AS (SELECT DISTINCT probe FROM (SELECT text AS probe FROM benchmark WHERE text <> ''))
         SELECT probe, min(doc_id) AS doc_id FROM p JOIN documents ON text <> '' AND (contains(text, probe) OR contains(probe, text)) GROUP BY 1""",
     "abstracts_merge": """WITH a AS (SELECT '10.1/x' || (doc_id % 300) AS k, arg_min(CAST(quality AS VARCHAR), doc_id) FILTER (doc_id % 2 = 0 AND quality IS NOT NULL) AS q, arg_min(CAST(toxic AS VARCHAR), doc_id) AS t FROM labels GROUP BY 1)
         SELECT doc_id, coalesce(q, '') AS abs_quality, coalesce(t, '') AS abs_toxic FROM documents LEFT JOIN a ON k = '10.1/x' || doc_id""",
@@ -211,12 +208,16 @@ ORACLE_SQL: dict[str, str] = {
         CASE WHEN gone THEN 'empty response' WHEN NOT good THEN 'not_found' ELSE '' END AS work_enrichment_error FROM u""",
     "json_extract": "SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, coalesce(json_extract_string(props, '$.k'), '') AS k_text FROM events",
     "cache_compact": f"WITH {_CHANGES} SELECT key, arg_max(value, seq) AS value, max(seq) AS seq FROM changes WHERE NOT contains(error, '429') GROUP BY key",
+    "cache_stream": f"WITH {_CHANGES} SELECT key, arg_max(value, seq) AS value, max(seq) AS seq FROM changes WHERE NOT contains(error, '429') GROUP BY key",
     "cache_pending": f"WITH {_CHANGES} SELECT DISTINCT key FROM changes WHERE key NOT IN (SELECT key FROM changes WHERE seq % 5 = 0 AND NOT contains(error, '429'))",
     "repair_overlay": f"""WITH {_CHANGES}, f AS (SELECT key, max(value) AS v FROM changes WHERE seq % 3 = 0 GROUP BY 1)
         SELECT seq, key, CASE WHEN contains(error, '429') AND v IS NOT NULL THEN v ELSE value END AS value, CASE WHEN contains(error, '429') AND v IS NOT NULL THEN '' ELSE error END AS error FROM changes LEFT JOIN f USING (key)""",
-    "column_classes": "SELECT * FROM (VALUES " + ", ".join(f"('{n}', '{k}')" for n, k in zip(_NAMES, _KINDS, strict=True)) + ") AS t(name, kind)",
+    "column_classes": """WITH n AS (SELECT event_id, CASE user_id % 9 WHEN 0 THEN 'openalex_' || event_type WHEN 1 THEN 'resumen_' || event_id WHEN 2 THEN 'palabras_clave' WHEN 3 THEN 'fuente_' || event_type
+        WHEN 4 THEN 'project_title' WHEN 5 THEN 'result_type' WHEN 6 THEN 'match_method' WHEN 7 THEN event_type || '_resumen' ELSE event_type END AS name FROM events)
+        SELECT event_id, name, CASE WHEN name LIKE 'openalex\\_%' ESCAPE '\\' THEN 'openalex' WHEN regexp_matches(name, '^(resumen|palabras_clave|fuente_)') THEN 'resumenes' WHEN name = 'project_title' THEN 'proyecto'
+            WHEN name = 'result_type' THEN 'vri' WHEN name = 'match_method' THEN 'matching' ELSE 'otro' END AS kind FROM n""",
     "project_text": """SELECT p_partkey, concat_ws(' ', p_name, CASE WHEN p_partkey % 3 <> 0 THEN p_brand END, p_type) AS project_text, concat_ws(' | ', p_type, CASE WHEN p_partkey % 4 <> 0 THEN p_name END) AS keywords FROM part""",
-    "tfidf_relational": """WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^0-9a-z_\\x{C0}-\\x{24F}]+')) AS term FROM documents), t AS (SELECT doc_id, term, count(*) AS tf FROM w WHERE length(term) > 1 GROUP BY 1, 2),
+    "tfidf_relational": """WITH w AS (SELECT doc_id, unnest(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}_]+')) AS term FROM documents), t AS (SELECT doc_id, term, count(*) AS tf FROM w WHERE length(term) > 1 GROUP BY 1, 2),
         v AS (SELECT term, count(*) AS df FROM t GROUP BY 1 ORDER BY sum(tf) DESC, term LIMIT 2000), n AS (SELECT count(*) AS n FROM documents),
         x AS (SELECT doc_id, term, tf * (ln((1.0::DOUBLE + n) / (1.0::DOUBLE + df)) + 1) AS w FROM t JOIN v USING (term), n)
         SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM x""",

@@ -22,6 +22,7 @@ from rillstone.operators import metrics as mt
 from rillstone.plans import reports
 from rillstone.sources import files, rest, xlsx
 from rillstone.storage import materialize, write_bytes
+from rillstone.streaming.cache import durable_fetch
 
 #: Sheet of each table; others can be given.
 SHEETS = {"projects": "PROYECTOS", "persons": "ORCID", "repository": "Pubs_RI", "scopus": "Pubs_SCOPUS", "wos": "Pubs_WoS", "results": "PROY_RESULTADOS"}
@@ -146,6 +147,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--blank-keys", choices=["exclude", "match"], default="exclude")
     parser.add_argument("--abstracts", help="a CSV of abstracts by DOI")
     parser.add_argument("--enrich", action="store_true", help="look the declared publications up at the service, paced by the environment")
+    parser.add_argument("--cache", help="folder of the answers, which a run that was interrupted goes on with; enrichment below the output unless given")
+    parser.add_argument("--env", default=".env", help="a file of NAME=value lines for the environment, if it exists")
     parser.add_argument("--limit", type=int, help="look up the first rows only, by project and product")
     parser.add_argument("--xlsx", action="store_true", help="also write the declared publications as a styled workbook")
     parser.add_argument("--sheet", action="append", default=[], metavar="TABLE=NAME", help=f"sheet of a table, or how its name begins; tables: {', '.join(SHEETS)}")
@@ -155,8 +158,8 @@ def main(argv: list[str] | None = None) -> None:
     names, sheets = xlsx.sheet_names(args.workbook), SHEETS | dict(s.split("=", 1) for s in args.sheet)
     tables = {t: spark.read.format("xlsx").option("sheet", sheet_of(names, s)).load(args.workbook) for t, s in sheets.items()}
     found = files.read_csv_text(spark, args.abstracts).withColumn("row_index", F.monotonically_increasing_id()) if args.abstracts else None
-    pacing = rest.Pacing.from_env()
-    look_up = (lambda requests: materialize(rest.fetch(requests, pacing=pacing), "answers")) if args.enrich else None  # each request is sent once
+    files.load_env(args.env)
+    look_up = durable_fetch(args.cache or f"{args.out}/enrichment", pacing=rest.Pacing.from_env()) if args.enrich else None
     write(build(tables, args.blank_keys, limit=args.limit, fetch=look_up, abstracts=found), args.out, tables, args.xlsx)
 
 

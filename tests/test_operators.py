@@ -1,6 +1,7 @@
 """Linkage, enrichment and text profiles on small tables with odd rows."""
 
 import json
+import random
 
 import numpy as np
 import pytest
@@ -58,6 +59,34 @@ def test_containment_leaves_out_blanks(spark):
     probes = spark.createDataFrame([("10.1/ab",), ("",), ("zz",)], "p string")
     masters = spark.createDataFrame([("10.1/abc", 2), ("", 1), ("10.1", 3)], "m string, seq int")
     assert [(r.p, r.m) for r in ln.containment(probes, masters, "p", "m", "seq").collect()] == [("10.1/ab", "10.1/abc")]
+    assert ln.containment(probes.limit(0), masters, "p", "m", "seq").count() == 0
+
+
+def test_containment_by_comparing_all(spark, monkeypatch):
+    pick = random.Random(2)
+    texts = ["".join(pick.choices("abé ", k=pick.randint(0, 14))) for _ in range(120)]
+    probes, masters = texts[:60] + texts[:3], texts[30:]
+    want = {}
+    for p in probes:
+        hits = [(i, m) for i, m in enumerate(masters) if p and m and (p in m or m in p)]
+        if hits:
+            want[p] = min(hits)
+    a = spark.createDataFrame([(p,) for p in [*probes, None]], "p string")
+    b = spark.createDataFrame([(m, i) for i, m in enumerate(masters)], "m string, seq int").repartition(3)
+    for size in (16 << 20, 100):
+        monkeypatch.setattr(ln, "PASS_BYTES", size)
+        assert {r.p: (r.seq, r.m) for r in ln.containment(a, b, "p", "m", "seq").collect()} == want
+    assert [r.p for r in ln.containment(a, b, "p", "m", "seq", most=4).orderBy("p").collect()] == [p for p in sorted(set(probes) - {""}, key=str.encode)[:4] if p in want]
+
+
+def test_candidates_of_a_common_name_meet_within_the_years(spark):
+    """What the join hands on grows with the answer, not with all pairs of the name."""
+    years = [None, *range(1990, 2020)]
+    projects = spark.createDataFrame([(i, years[i % 31], "ANA", ["open"]) for i in range(310)], "project_id int, project_year int, coordinator_norm string, project_tokens array<string>")
+    authored = spark.createDataFrame([("ANA", "Ana", i, i, years[i % 31], ["open"], True, False, False) for i in range(310)], "author_name_norm string, author_name_raw string, auth_seq int, publication_id int, publication_year int, publication_tokens array<string>, ri boolean, scopus boolean, wos boolean")
+    want = {(p, q) for p in range(310) for q in range(310) if years[p % 31] is None or years[q % 31] is None or 0 <= years[q % 31] - years[p % 31] <= ln.sim.WEIGHTS.horizon}
+    pairs = [(r.project_id, r.publication_id) for r in ln.candidate_links(projects, authored).collect()]
+    assert len(pairs) == len(want) and set(pairs) == want
 
 
 WORK = {"id": "W123", "doi": "10.1000/test", "publication_year": 2022, "cited_by_count": 11, "primary_location": {"is_oa": True, "landing_page_url": "http://x", "source": {"display_name": "Nature"}, "license": "cc"}, "authorships": [{"author": {"display_name": "Jane Doe"}}]}

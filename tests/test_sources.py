@@ -166,3 +166,33 @@ def test_folders_are_made_anew(spark, tmp_path):
     (tmp_path / "d" / "f").write_text("x")
     files.recreate_folder(spark, str(tmp_path / "d"))
     assert list((tmp_path / "d").iterdir()) == []
+
+
+def test_enrichment_goes_on_where_it_was_killed(spark, tmp_path):
+    """Answers of finished batches stand; passing errors are asked for again, lasting ones aren't."""
+    folder, log = str(tmp_path / "enrichment"), tmp_path / "asked"
+    log.mkdir()
+    requests = spark.createDataFrame([(f"k{i}", f"u{i}") for i in range(6)] + [("k0", "u0"), ("", "x"), ("none", "")], "key string, url string")
+
+    def get(url, timeout):
+        n = len(list(log.iterdir()))
+        (log / f"{n:03d}-{url}").touch()
+        if n == 3:
+            raise RuntimeError("killed")  # no error of the service: the task and the run end
+        if url == "u1" and n < 6:
+            raise TimeoutError("timed out")
+        if url == "u5":
+            raise urllib.error.HTTPError(url, 404, "gone", None, None)
+        return "{}"
+
+    ask = cache.durable_fetch(folder, get, rest.Pacing(0, 0, attempts=1), batch=1)
+    with pytest.raises(Exception, match="killed"):
+        ask(requests)
+    before = [p.name[4:] for p in sorted(log.iterdir())]
+    got = {r.key: (r.payload, r.error) for r in ask(requests).collect()}
+    after = [p.name[4:] for p in sorted(log.iterdir())][4:]
+    assert len(before) == 4 and before[:3] == ["u0", "u1", "u2"]
+    assert sorted(set(after)) == ["u1", "u3", "u4", "u5"] and len(after) == 4  # u1's error was passing
+    assert got == {"k0": ("{}", ""), "k1": ("{}", ""), "k2": ("{}", ""), "k3": ("{}", ""), "k4": ("{}", ""), "k5": (None, "HTTP Error 404: gone"), "none": (None, "no query")}
+    more = requests.unionByName(spark.createDataFrame([("k9", "u9")], "key string, url string"))
+    assert len(ask(more).collect()) == 8 and [p.name[4:] for p in sorted(log.iterdir())][8:] == ["u9"]
