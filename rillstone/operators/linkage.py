@@ -87,9 +87,20 @@ def authorships(records: DataFrame, authors: str, ids: str, key: str = "master_k
     return rows.select(key, "source", "seq", (F.col("p") + 1).alias("author_order"), "author_name_raw", tx.normalize_text("author_name_raw").alias("author_name_norm"), tx.at(F.col("i"), "p").alias("external_author_id"))
 
 
+def _digest(c: str) -> Column:
+    """32 bytes that stand for a long key in joins."""
+    return F.unhex(F.sha2(c, 256))
+
+
+def publication_ids(records: DataFrame) -> DataFrame:
+    """``master_key, publication_id`` as ``consolidate`` numbers them, from the keys alone."""
+    return number_rows(records.where("master_key IS NOT NULL").select("master_key").distinct(), "publication_id", "master_key")
+
+
 def attach_publications(df: DataFrame, publications: DataFrame) -> DataFrame:
-    """``df`` with ``publication_id`` by master key; rows without one stay."""
-    return df.join(publications.select("master_key", "publication_id"), "master_key", "left")
+    """``df`` with ``publication_id`` by master key; rows without one stay. Keys, which hold whole titles, meet as digests."""
+    known = publications.select(_digest("master_key").alias("__known"), "publication_id")
+    return df.withColumn("__key", _digest("master_key")).join(known, F.col("__key") == F.col("__known"), "left").drop("__key", "__known")
 
 
 def join_key(c: str, blank_keys: str) -> Column:

@@ -68,9 +68,9 @@ def name_aliases(spark, d):
 
 
 def _author_records(spark, d):
-    words = F.array_join(F.split("text", " "), "|")
-    ids = F.array_join(F.transform(F.split("text", " "), lambda w, i: F.when(i % 3 == 0, "-").otherwise(F.concat(F.lit("id"), i))), "|")
-    return _records(spark, d).join(_t(spark, d, "documents").select(F.col("doc_id").alias("seq"), words.alias("authors"), ids.alias("ids")), "seq")
+    words = F.split("title", " ")  # the whole texts
+    ids = F.transform(words, lambda w, i: F.when(i % 3 == 0, "-").otherwise(F.concat(F.lit("id"), i)))
+    return _records(spark, d).withColumns({"authors": F.array_join(words, "|"), "ids": F.array_join(ids, "|")})
 
 
 @_query
@@ -122,7 +122,7 @@ def source_pivot_flags(spark, d):
 @_query
 def authorships_attach(spark, d):
     records = _author_records(spark, d)
-    attached = ln.attach_publications(records, ln.consolidate(records))  # before the lists are exploded: keys hold whole titles
+    attached = ln.attach_publications(records, ln.publication_ids(records))
     return ln.authorships(attached, "authors", "ids", "publication_id").select("publication_id", "source", F.col("seq").alias("doc_id"), "author_order", "author_name_norm", "external_author_id")
 
 
