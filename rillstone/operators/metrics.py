@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillstone.functions.similarity import half_up_percent
+from rillstone.operators.selection import exact_median
+from rillstone.storage import materialize
 
 
 def value_counts(df: DataFrame, value: str) -> DataFrame:
@@ -21,18 +23,27 @@ def top_values(df: DataFrame, value: str, k: int) -> DataFrame:
 
 
 def group_size_stats(df: DataFrame, key: str) -> DataFrame:
-    """One row: groups, mean, median and largest size; zeros without groups."""
-    sizes = df.groupBy(key).agg(F.count("*").alias("n"))
+    """One row: groups, mean, median and largest size; zeros without groups.
+
+    The median is taken of the groups' number for each size; r rows have fewer than the root of 2 r sizes.
+    """
+    sizes = df.groupBy(key).agg(F.count("*").alias("n")).groupBy("n").agg(F.count("*").alias("groups"))  # a row per size
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    return sizes.agg(F.count("*").alias("groups"), zero(F.avg("n")).alias("mean_size"), zero(F.median("n")).alias("median_size"), F.coalesce(F.max("n"), F.lit(0)).alias("max_size"))
+    total = F.coalesce(F.sum("groups"), F.lit(0).cast("long"))
+    return sizes.agg(total.alias("groups"), zero(F.sum(F.col("n") * F.col("groups")) / F.sum("groups")).alias("mean_size"), zero(F.percentile("n", F.lit(0.5), F.col("groups"))).alias("median_size"), F.coalesce(F.max("n"), F.lit(0)).alias("max_size"))
 
 
 def score_stats(links: DataFrame) -> DataFrame:
-    """One row of score and similarity statistics with counts over 0.30 and 0.50."""
+    """One row of score and similarity statistics with counts over 0.30 and 0.50.
+
+    Both columns are written first, since the medians are found by several passes over them.
+    """
     s, t = "score", "title_similarity"
+    links = materialize(links.select(s, t), "scores")
+    median = lambda c: F.lit(exact_median(links, c)).cast("double")
     return links.agg(
-        F.round(F.avg(s), 6).alias("mean_score"), F.median(s).alias("median_score"), F.min(s).alias("min_score"), F.max(s).alias("max_score"), F.round(F.stddev_samp(s), 6).alias("std_score"),
-        F.round(F.avg(t), 6).alias("mean_similarity"), F.median(t).alias("median_similarity"), F.count_if(F.col(t) > 0.3).alias("over_30"), F.count_if(F.col(t) > 0.5).alias("over_50"),
+        F.round(F.avg(s), 6).alias("mean_score"), median(s).alias("median_score"), F.min(s).alias("min_score"), F.max(s).alias("max_score"), F.round(F.stddev_samp(s), 6).alias("std_score"),
+        F.round(F.avg(t), 6).alias("mean_similarity"), median(t).alias("median_similarity"), F.count_if(F.col(t) > 0.3).alias("over_30"), F.count_if(F.col(t) > 0.5).alias("over_50"),
     )
 
 
