@@ -6,12 +6,10 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import PCA, VectorAssembler
-from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from rillstone.operators.vectors import with_clusters, with_pca
 from rillstone.storage import discard, materialize, spread
 
 #: What parts words: all but letters and digits of any script and the underscore.
@@ -85,33 +83,22 @@ def tfidf(df: DataFrame, key: str, text: str, max_features: int = 2000) -> DataF
     return rows.select(key, "norm", F.explode("x").alias("x")).select(key, "x.term", (F.col("x.w") / F.col("norm")).alias("weight"))
 
 
-def with_pca(df: DataFrame, vector: str, k: int = 3) -> tuple[DataFrame, list[float]]:
-    """``df`` with ``pca_1`` .. ``pca_k`` of centred vectors, and the explained shares of variance. Signs are arbitrary."""
-    vectors = df.withColumn("__v", array_to_vector(F.col(vector).cast("array<double>")))
-    model = PCA(k=k, inputCol="__v", outputCol="__p").fit(vectors)
-    projected = model.transform(vectors).withColumn("__p", vector_to_array("__p"))
-    means = projected.agg(*(F.avg(F.col("__p")[i]).alias(f"m{i}") for i in range(k))).first()
-    return projected.withColumns({f"pca_{i + 1}": F.col("__p")[i] - means[i] for i in range(k)}).drop("__v", "__p"), [float(x) for x in model.explainedVariance]
+def _sparse_rows(df: DataFrame, key: str, text: str, max_features: int = 2000) -> DataFrame:
+    """``df`` with TF-IDF rows as sparse vectors, places being the terms' numbers in their order; without terms, empty ones.
 
-
-def with_clusters(df: DataFrame, columns: list[str], k: int = 8, seed: int = 42) -> DataFrame:
-    """``df`` with ``cluster_label`` by k-means over numeric columns."""
-    vectors = VectorAssembler(inputCols=columns, outputCol="__v").transform(df)
-    return KMeans(k=k, seed=seed, featuresCol="__v", predictionCol="cluster_label").fit(vectors).transform(vectors).drop("__v")
-
-
-def _pivoted(df: DataFrame, key: str, text: str) -> DataFrame:
-    """TF-IDF rows as dense arrays in term order."""
-    rows = tfidf(df, key, text)
-    terms = rows.select("term").distinct().orderBy("term").limit(2000)
-    maps = rows.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("term", "weight"))).alias("m"))
-    names = terms.agg(F.sort_array(F.collect_list("term")).alias("names"))
-    dense = maps.crossJoin(F.broadcast(names)).select(key, F.transform("names", lambda t: F.coalesce(F.try_element_at("m", t), F.lit(0.0))).alias("embedding"))
-    return df.join(dense, key)
+    Components and clusters pass over the rows again and again, so they are written.
+    """
+    weights = tfidf(df, key, text, max_features)
+    names = weights.select("term").distinct().agg(F.sort_array(F.collect_list("term")).alias("t"))  # max_features at most
+    places = names.select(F.posexplode("t").alias("place", "term"))
+    numbered = weights.join(F.broadcast(places), "term").select(F.col(key).alias("__key"), F.struct("place", "weight").alias("x"))
+    vectors = numbered.groupBy("__key").agg(F.array_sort(F.collect_list("x")).alias("x")).select("__key", F.struct(F.col("x.place").alias("i"), F.col("x.weight").alias("w")).alias("__v"))
+    none = F.struct(F.array().cast("array<int>").alias("i"), F.array().cast("array<double>").alias("w"))
+    return materialize(df.join(vectors, F.col(key).eqNullSafe(F.col("__key")), "left").withColumn("embedding", F.coalesce("__v", none)).drop("__key", "__v"), "sparse-rows")
 
 
 #: Ways to embed a text column; ``register_transformer`` adds models.
-EMBEDDINGS: dict[str, Callable[[DataFrame, str, str], DataFrame]] = {"tfidf": _pivoted}
+EMBEDDINGS: dict[str, Callable[[DataFrame, str, str], DataFrame]] = {"tfidf": _sparse_rows}
 
 
 def _open_onnx(model: str):
@@ -162,11 +149,11 @@ def register_transformer(name: str, model: str, vocabulary: str, prefix: str = "
 
 
 def analyze(df: DataFrame, key: str, text: str, method: str = "tfidf", components: int = 3, clusters: int = 8) -> tuple[DataFrame, dict]:
-    """``df`` with components and cluster labels, and what was done. Raises if no text has words."""
+    """``df`` with components and cluster labels of the whole vectors, and what was done. Raises if no text has words."""
     if method not in EMBEDDINGS:
         raise ValueError(f"unknown embedding {method!r}; known: {', '.join(sorted(EMBEDDINGS))}")
     if df.where(F.trim(F.coalesce(F.col(text), F.lit(""))) != "").isEmpty():
         raise ValueError("all texts are blank")
     placed, shares = with_pca(EMBEDDINGS[method](df, key, text), "embedding", components)
-    labelled = with_clusters(placed, [f"pca_{i + 1}" for i in range(components)], clusters).drop("embedding")
+    labelled = with_clusters(placed, "embedding", clusters).drop("embedding")
     return labelled, {"method": method, "components": components, "clusters": clusters, "explained_variance": shares}

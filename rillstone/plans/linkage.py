@@ -415,8 +415,7 @@ def pca_variance(spark, d):
 
 @_query
 def kmeans_sizes(spark, d):
-    placed, _ = sm.with_pca(_t(spark, d, "embeddings"), "embedding", 3)
-    return sm.with_clusters(placed, ["pca_1", "pca_2", "pca_3"], 8).groupBy("cluster_label").agg(F.count("*").alias("n"))
+    return sm.with_clusters(_t(spark, d, "embeddings"), "embedding", 8).groupBy("cluster_label").agg(F.count("*").alias("n"))
 
 
 @_query
