@@ -17,6 +17,7 @@ from rillstone.operators import enrichment as en
 from rillstone.operators import linkage as ln
 from rillstone.operators import metrics as mt
 from rillstone.operators import semantic as sm
+from rillstone.operators import similar as sl
 from rillstone.operators.numbering import first_n, number_rows
 from rillstone.storage import new_folder
 from rillstone.streaming import cache
@@ -429,3 +430,9 @@ def sequence_ratios(spark, d):
     part = _t(spark, d, "part")
     asked = part.where("p_partkey % 100 = 0").select("p_name").distinct()
     return asked.crossJoin(part.select(F.col("p_name").alias("other")).distinct()).select("p_name", "other", sequence_ratio(F.col("p_name"), F.col("other")).alias("ratio"))
+
+
+@_query
+def similar_names(spark, d):
+    """Part names with their types of a ratio of 0.9 or more."""
+    return sl.similar_names(_t(spark, d, "part").select(F.concat_ws(" ", "p_name", "p_type").alias("name")), "name", 0.9)
