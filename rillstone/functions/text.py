@@ -34,6 +34,8 @@ def _folds() -> tuple[str, str, dict[str, str]]:
             one.append((c, plain))
         elif plain.strip():
             many[c] = plain
+        elif code < 0x3000:  # punctuation: a space, so that few texts need a second look
+            one.append((c, " "))
     return "".join(c for c, _ in one) + "".join(gone), "".join(p for _, p in one), many
 
 
@@ -44,9 +46,13 @@ sobre entre hacia desde mediante frente al ante que se su sus or o
 """.upper().split()
 
 
+#: White space as in Java's expressions, and the no-break space.
+SPACES = " \t\n\x0b\f\r\u00a0"
+
+
 def strip(c: ColumnLike) -> Column:
     """The text without white space at its ends (all kinds, while ``trim`` knows spaces only)."""
-    return F.regexp_replace(_col(c), r"^[\s ]+|[\s ]+$", "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def blank_to_null(c: ColumnLike, placeholders: Iterable[str] = ("",)) -> Column:
@@ -58,15 +64,15 @@ def normalize_text(c: ColumnLike) -> Column:
     """Upper case without accents; all but A-Z, 0-9 becomes single spaces; null becomes ''.
 
     Accents and other forms fold by a table built by rule, so that no text leaves the JVM. Characters that stand for
-    several (fractions, numbers in circles) are looked up one by one, in the texts that have any.
+    several (fractions, numbers in circles) are looked up one by one, in the texts that have other letters left.
     """
     old, new, many = _folds()
     upper = F.upper(F.coalesce(_col(c), F.lit("")))
     table = F.str_to_map(F.lit(";".join(f"{a}:{b}" for a, b in many.items())), F.lit(";"), F.lit(":"))  # folded when planned
-    some = F.length(F.translate(upper, "".join(many), "")) < F.length(upper)  # a regular expression would try one character after another
-    spelt = F.array_join(F.transform(F.split(upper, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    folded = F.translate(F.when(some, spelt).otherwise(upper), old, new)
-    plain = F.when(upper.rlike(r"[^\x00-\x7F]"), folded).otherwise(upper)
+    beyond = lambda x: F.octet_length(x) > F.char_length(x)
+    folded = F.translate(upper, old, new)
+    spelt = F.array_join(F.transform(F.split(folded, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    plain = F.when(beyond(upper), F.when(beyond(folded), spelt).otherwise(folded)).otherwise(upper)
     return F.trim(F.regexp_replace(plain, "[^A-Z0-9]+", " "))
 
 
@@ -96,11 +102,30 @@ def split_list(c: ColumnLike, sep: str = "|", drop: Iterable[str] = ()) -> Colum
     return F.filter(F.transform(F.split(F.coalesce(_col(c), F.lit("")), f"[{sep}]"), strip), lambda x: ~x.isin(gone))
 
 
+def aligned_pairs(names: ColumnLike, ids: ColumnLike, sep: str = "|") -> Column:
+    """The non-blank parts of a list of names, each with the part at its place in a list of ids, both as they stand."""
+    texts = [F.coalesce(_col(c), F.lit("")) for c in (names, ids)]
+    pairs = F.arrays_zip(*(F.split(t, f"[{sep}]") for t in texts))  # fields by position
+    blank = texts[0].rlike(rf"(?:^|[{sep}])[{SPACES}]*+(?:[{sep}]|\z)")  # filters evaluate element by element, so only where needed
+    beyond = F.size(F.split(texts[1], f"[{sep}]")) > F.size(F.split(texts[0], f"[{sep}]"))
+    return F.when(blank | beyond, F.filter(pairs, lambda x: strip(F.coalesce(x["0"], F.lit(""))) != "")).otherwise(pairs)
+
+
+def aligned_name(pair: Column) -> Column:
+    """The name of an element of ``aligned_pairs``."""
+    return strip(pair["0"])
+
+
+def aligned_id(pair: Column) -> Column:
+    """The id of an element of ``aligned_pairs``."""
+    found = strip(pair["1"])
+    return F.when(found.isNull() | found.isin("-", ""), "").otherwise(found)
+
+
 def split_aligned(names: ColumnLike, ids: ColumnLike, sep: str = "|") -> tuple[Column, Column]:
     """The non-blank parts of a list of names, and for each the part at its place in a list of ids; '-' and blanks there are ''."""
-    a, b = (F.transform(F.split(F.coalesce(_col(c), F.lit("")), f"[{sep}]"), strip) for c in (names, ids))
-    pairs = F.filter(F.arrays_zip(a, b), lambda x: F.coalesce(x["0"], F.lit("")) != "")  # fields by position
-    return F.transform(pairs, lambda x: x["0"]), F.transform(pairs, lambda x: F.when(x["1"].isNull() | x["1"].isin("-", ""), "").otherwise(x["1"]))
+    pairs = aligned_pairs(names, ids, sep)
+    return F.transform(pairs, aligned_name), F.transform(pairs, aligned_id)
 
 
 def at(array: Column, position: ColumnLike) -> Column:

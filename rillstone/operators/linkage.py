@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from rillstone.functions import similarity as sim
 from rillstone.functions import text as tx
-from rillstone.operators.numbering import first_nonblank, keep_first, last_value, number_rows
+from rillstone.operators.numbering import digest, first_nonblank, head, keep_first, last_value, number_rows, number_texts
+from rillstone.storage import materialize
 
 #: Kinds of declared results that are publications.
 PUBLICATION_TYPES = [
@@ -81,26 +82,23 @@ def consolidate(records: DataFrame) -> DataFrame:
 
 def authorships(records: DataFrame, authors: str, ids: str, key: str = "master_key") -> DataFrame:
     """A row per author of each record: ``key``, source, author_order (from 1), raw and normalized name, id at the same place."""
-    names, places = tx.split_aligned(authors, ids)
-    split = records.select(key, "source", "seq", names.alias("a"), places.alias("i"))
-    rows = split.select(key, "source", "seq", "i", F.posexplode("a").alias("p", "author_name_raw"))
-    return rows.select(key, "source", "seq", (F.col("p") + 1).alias("author_order"), "author_name_raw", tx.normalize_text("author_name_raw").alias("author_name_norm"), tx.at(F.col("i"), "p").alias("external_author_id"))
-
-
-def _digest(c: str) -> Column:
-    """32 bytes that stand for a long key in joins."""
-    return F.unhex(F.sha2(c, 256))
+    rows = records.select(key, "source", "seq", F.posexplode(tx.aligned_pairs(authors, ids)).alias("p", "x"))
+    named = rows.select(key, "source", "seq", (F.col("p") + 1).alias("author_order"), tx.aligned_name(F.col("x")).alias("author_name_raw"), tx.aligned_id(F.col("x")).alias("external_author_id"))
+    return named.select(key, "source", "seq", "author_order", "author_name_raw", tx.normalize_text("author_name_raw").alias("author_name_norm"), "external_author_id")
 
 
 def publication_ids(records: DataFrame) -> DataFrame:
-    """``master_key, publication_id`` as ``consolidate`` numbers them, from the keys alone."""
-    return number_rows(records.where("master_key IS NOT NULL").select("master_key").distinct(), "publication_id", "master_key")
+    """``digest`` of the master key, ``publication_id`` as ``consolidate`` numbers them, from the keys alone."""
+    return number_texts(records.where("master_key IS NOT NULL"), "master_key", "publication_id")
 
 
 def attach_publications(df: DataFrame, publications: DataFrame) -> DataFrame:
-    """``df`` with ``publication_id`` by master key; rows without one stay. Keys, which hold whole titles, meet as digests."""
-    known = publications.select(_digest("master_key").alias("__known"), "publication_id")
-    return df.withColumn("__key", _digest("master_key")).join(known, F.col("__key") == F.col("__known"), "left").drop("__key", "__known")
+    """``df`` with ``publication_id`` by master key; rows without one stay. Keys, which hold whole titles, meet as digests.
+
+    ``publications`` come from ``consolidate`` or ``publication_ids``.
+    """
+    known = publications.select((F.col("digest") if "digest" in publications.columns else digest("master_key")).alias("__known"), "publication_id")
+    return df.withColumn("__key", digest("master_key")).join(known, F.col("__key") == F.col("__known"), "left").drop("__key", "__known")
 
 
 def join_key(c: str, blank_keys: str) -> Column:

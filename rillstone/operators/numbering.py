@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from rillstone.storage import materialize
 
+#: Characters by which long texts are put in order, before the rest of those that begin alike is looked at.
+HEAD = 128
+
 
 def number_rows(df: DataFrame, name: str, *order: Column | str, start: int = 1) -> DataFrame:
     """``df`` with ``name``: start, start + 1, ... in ``order``.
@@ -25,6 +28,32 @@ def number_rows(df: DataFrame, name: str, *order: Column | str, start: int = 1)
     return placed.withColumn("__part", part).join(F.broadcast(sums), "__part").withColumn(name, number).drop("__part", "__at", "__before")
 
 
+def digest(c: str) -> Column:
+    """32 bytes that stand for a long text in joins and groups."""
+    return F.unhex(F.sha2(c, 256))
+
+
+def head(c: str) -> Column:
+    """The first characters of a text."""
+    return F.substring(c, 1, HEAD)
+
+
+def number_texts(df: DataFrame, text: str, name: str, heads: DataFrame | None = None) -> DataFrame:
+    """``digest, name``: the distinct texts of a column, numbered from 1 in their order.
+
+    Digests and heads are shuffled; of texts that share their head with another one, the rest, too. ``heads``: the
+    distinct ``digest, head`` of the column, where they are known.
+    """
+    if heads is None:
+        heads = materialize(df.select(digest(text).alias("digest"), head(text).alias("head")).distinct(), "heads")
+    alike = heads.groupBy("head").agg(F.count("*").alias("n")).where("n > 1").select(F.xxhash64("head").alias("__head"))
+    if alike.isEmpty():
+        return number_rows(heads, name, "head").select("digest", name)
+    rest = df.where(F.length(text) > HEAD).select(digest(text).alias("digest"), F.xxhash64(head(text)).alias("__head"), F.substring(F.col(text), F.lit(HEAD + 1), F.length(text)).alias("rest"))
+    rest = rest.join(alike.distinct(), "__head", "left_semi").select("digest", "rest").distinct()
+    return number_rows(heads.join(rest, "digest", "left"), name, "head", "rest").select("digest", name)
+
+
 def keep_first(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
     """The first row of each key in ``order``; all columns."""
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))

@@ -141,3 +141,22 @@ def test_profiles(spark):
         sm.analyze(texts, "id", "t", method="other")
     with pytest.raises(ValueError):
         sm.analyze(texts.withColumn("t", F.lit(" ")), "id", "t")
+
+
+def test_ids_are_not_copied_to_every_author(spark):
+    """Arrays of a record don't stay beside its exploded authors, where they would be copied once an author."""
+    records = spark.createDataFrame([("k", "RI", 1, " Ana |Eva|  |Zoë", "1|-||4|5"), ("l", "RI", 2, "A |B", "1"), ("m", "RI", 3, "", "9")], "master_key string, source string, seq int, authors string, ids string")
+    rows = ln.authorships(records, "authors", "ids")
+    got = [tuple(r) for r in rows.orderBy("seq", "author_order").collect()]
+    assert got == [("k", "RI", 1, 1, "Ana", "ANA", "1"), ("k", "RI", 1, 2, "Eva", "EVA", ""), ("k", "RI", 1, 3, "Zoë", "ZOE", "4"), ("l", "RI", 2, 1, "A", "A", "1"), ("l", "RI", 2, 2, "B", "B", "")]
+    assert "[p#" not in rows._jdf.queryExecution().optimizedPlan().toString()  # no array is looked into by the author's place
+
+
+def test_numbers_of_texts_that_begin_alike(spark):
+    from rillstone.operators.numbering import HEAD, number_texts
+
+    texts = ["a" * HEAD + x for x in ("", "b", "ab", "ñ", "a")] + ["a" * n for n in (0, 1, HEAD - 1)] + ["é" * HEAD, "é" * (HEAD + 1), "z"]
+    df = spark.createDataFrame([(t,) for t in texts * 3], "t string").repartition(5)
+    for some in (texts, texts[-1:]):
+        rows = number_texts(df.where(F.col("t").isin(some)), "t", "n").join(df.select("t", F.unhex(F.sha2("t", 256)).alias("digest")).distinct(), "digest").collect()
+        assert [r.t for r in sorted(rows, key=lambda r: r.n)] == sorted(some, key=str.encode) and sorted(r.n for r in rows) == list(range(1, len(some) + 1))
