@@ -37,8 +37,64 @@ def sequence_ratio(a: Column, b: Column) -> Column:
     return F.pandas_udf(_ratios, "double")(a, b)
 
 
+#: ``SequenceMatcher`` leaves out popular characters of second texts of this length or more.
+POPULAR = 200
+
+
+def half_ratio_above(a: str, b: str, least: float) -> float:
+    """Half the gestalt ratio of two texts, or ``least`` where it is not above that.
+
+    Equal characters are bits of one number, a row for each character of ``a``; a bit of ``E & (E >> row + 1)`` starts two
+    equal characters, and so on by doubling. The lowest bit of the longest run is the match that ``SequenceMatcher``
+    takes. The search ends once what is left open can't lift the ratio above ``least``.
+    """
+    if not a or not b:
+        return max(0.0, least)
+    if len(b) >= POPULAR:
+        return max(0.5 * SequenceMatcher(None, a, b).ratio(), least)
+    size = len(b) // 8 + 1  # a bit in each row stays free
+    width, both = 8 * size, len(a) + len(b)
+    masks: dict[str, int] = {}
+    for j, c in enumerate(b):
+        masks[c] = masks.get(c, 0) | 1 << j
+    rows = {c: m.to_bytes(size, "little") for c, m in masks.items()}
+    none = bytes(size)
+    equal = int.from_bytes(b"".join([rows.get(c, none) for c in a]), "little")
+    ones = int.from_bytes((b"\1" + none[1:]) * len(a), "little")
+    matched, left = 0, min(len(a), len(b))
+    todo = [(0, len(a), 0, len(b))]
+    while todo:
+        if 0.5 * (2.0 * (matched + left) / both) <= least:
+            return least
+        alo, ahi, blo, bhi = todo.pop()
+        left -= min(ahi - alo, bhi - blo)
+        if ahi - alo == len(a) and bhi - blo == len(b):
+            some = equal
+        else:
+            inside = (1 << (ahi - alo) * width) - 1
+            some = equal >> alo * width & inside & (ones & inside) * ((1 << bhi) - (1 << blo))
+        if not some:
+            continue
+        runs = [some]  # starts of 1, 2, 4, ... equal characters
+        while further := runs[-1] & runs[-1] >> (width + 1 << len(runs) - 1):
+            runs.append(further)
+        best = runs.pop()
+        n = 1 << len(runs)
+        while runs:
+            if further := best & runs.pop() >> n * (width + 1):
+                best, n = further, n + (1 << len(runs))
+        i, j = divmod((best & -best).bit_length() - 1, width)
+        i += alo
+        matched += n
+        for part in ((alo, i, blo, j), (i + n, ahi, j + n, bhi)):
+            if (most := min(part[1] - part[0], part[3] - part[2])) > 0:
+                left += most
+                todo.append(part)
+    return max(0.5 * (2.0 * matched / both), least)
+
+
 def _larger(a: pd.Series, b: pd.Series, overlap: pd.Series) -> pd.Series:
-    return pd.Series([round(max(0.5 * r, j), 4) for r, j in zip(_ratios(a, b), overlap, strict=True)], dtype="float64")
+    return pd.Series([round(half_ratio_above(x, y, j), 4) for x, y, j in zip(a.fillna(""), b.fillna(""), overlap, strict=True)], dtype="float64")
 
 
 def with_title_score(pairs: DataFrame, a: str, b: str, tokens_a: str, tokens_b: str) -> DataFrame:

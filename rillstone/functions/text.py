@@ -34,11 +34,19 @@ def _folds() -> tuple[str, str, dict[str, str]]:
             one.append((c, plain))
         elif plain.strip():
             many[c] = plain
-        elif code < 0x3000:  # punctuation: a space, so that few texts need a second look
-            one.append((c, " "))
     return "".join(c for c, _ in one) + "".join(gone), "".join(p for _, p in one), many
 
 
+@cache
+def _latin_folds() -> tuple[str, str]:
+    """The part of ``_folds`` for Latin letters and common punctuation, which turns into spaces: most texts need no more."""
+    old, new, many = _folds()
+    table = {c: new[k : k + 1] for k, c in enumerate(old)}
+    some = [c for c in map(chr, [*range(0x80, 0x250), *range(0x2000, 0x2070)]) if c not in many]
+    some.sort(key=lambda c: table.get(c, " ") == "")  # those that go come last
+    return "".join(some), "".join(table.get(c, " ") for c in some)
+
+
 #: Words of no weight in titles (Spanish and English).
 STOPWORDS = """
 de del la el los las y e en para por con sin un una unos unas the and of in on for to a an from via as at into
@@ -70,9 +78,9 @@ def normalize_text(c: ColumnLike) -> Column:
     upper = F.upper(F.coalesce(_col(c), F.lit("")))
     table = F.str_to_map(F.lit(";".join(f"{a}:{b}" for a, b in many.items())), F.lit(";"), F.lit(":"))  # folded when planned
     beyond = lambda x: F.octet_length(x) > F.char_length(x)
-    folded = F.translate(upper, old, new)
-    spelt = F.array_join(F.transform(F.split(folded, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
-    plain = F.when(beyond(upper), F.when(beyond(folded), spelt).otherwise(folded)).otherwise(upper)
+    latin = F.translate(upper, *_latin_folds())
+    spelt = F.array_join(F.transform(F.split(upper, ""), lambda x: F.coalesce(F.try_element_at(table, x), x)), "")
+    plain = F.when(beyond(upper), F.when(beyond(latin), F.translate(spelt, old, new)).otherwise(latin)).otherwise(upper)
     return F.trim(F.regexp_replace(plain, "[^A-Z0-9]+", " "))
 
 

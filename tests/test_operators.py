@@ -2,6 +2,7 @@
 
 import json
 import random
+import re
 
 import numpy as np
 import pytest
@@ -149,7 +150,7 @@ def test_ids_are_not_copied_to_every_author(spark):
     rows = ln.authorships(records, "authors", "ids")
     got = [tuple(r) for r in rows.orderBy("seq", "author_order").collect()]
     assert got == [("k", "RI", 1, 1, "Ana", "ANA", "1"), ("k", "RI", 1, 2, "Eva", "EVA", ""), ("k", "RI", 1, 3, "Zoë", "ZOE", "4"), ("l", "RI", 2, 1, "A", "A", "1"), ("l", "RI", 2, 2, "B", "B", "")]
-    assert "[p#" not in rows._jdf.queryExecution().optimizedPlan().toString()  # no array is looked into by the author's place
+    assert not re.search(r"\w#\d+\[p#\d+\]", rows._jdf.queryExecution().optimizedPlan().toString())  # no array is looked into by the author's place
 
 
 def test_numbers_of_texts_that_begin_alike(spark):

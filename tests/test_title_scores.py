@@ -1,5 +1,6 @@
 """Candidate links and what is counted from them, against the score's definition in plain Python."""
 
+import random
 from collections import Counter
 from difflib import SequenceMatcher
 from statistics import mean, median, stdev
@@ -7,6 +8,7 @@ from statistics import mean, median, stdev
 import duckdb
 import pytest
 
+from rillstone.functions.similarity import half_ratio_above
 from rillstone.functions.text import STOPWORDS
 from rillstone.operators import linkage as ln
 from rillstone.plans import run
@@ -81,3 +83,15 @@ def test_the_whole_run_compares_titles(spark):
     assert {"project_title", "publication_title"} <= set(links.columns) and not {"project_title_norm", "publication_title_norm"} & set(links.columns)
     undated = links.where("publication_title = 'Undated'").first()
     assert undated.title_similarity == similarity(undated.project_title.upper(), "UNDATED") > 0
+
+
+def test_half_ratios_equal_difflib():
+    """The ratio from rows of bits, for texts with many ties and beyond the length where characters get popular; a bound ends it."""
+    pick = random.Random(5)
+    text = lambda: "".join(pick.choices("abé "[: pick.randint(1, 4)], k=pick.choice((0, 1, 7, 8, 30, 70, 199, 200, 240))))
+    for _ in range(400):
+        a, b = text(), text()
+        want = 0.5 * SequenceMatcher(None, a, b).ratio() if a and b else 0.0
+        assert half_ratio_above(a, b, 0.0) == want
+        least = pick.random() / 2
+        assert half_ratio_above(a, b, least) == max(want, least)
