@@ -16,7 +16,7 @@ from rillstone.llm.license_texts import TEXTS, notices
 from rillstone.llm.near_dup import near_duplicates
 from rillstone.llm.packing import cut_documents, pack
 from rillstone.llm.quality import held_out, scorer, train
-from rillstone.llm.rule_forest import fit, rule_verdicts
+from rillstone.llm.rule_forest import counted, fit, rule_verdicts
 from rillstone.llm.runs import periodic_runs
 from rillstone.llm.sharding import lookup_table, place
 from rillstone.llm.token_counts import token_counts
@@ -92,7 +92,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document, the base rules' and the forest's verdict."""
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = counted(_table(spark, sf_dir, "documents"))
     found = rule_verdicts(docs, fit(docs, _table(spark, sf_dir, "labels")))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", failed.alias("base_failed"), (~failed & ~F.col("unusual")).alias("kept"), "anomaly")

@@ -8,7 +8,7 @@ import duckdb
 import numpy as np
 
 from rillstone.llm.queries import QUERIES
-from rillstone.llm.rule_forest import COUNTS, calibrated, fit, grow, rule_verdicts
+from rillstone.llm.rule_forest import COUNTS, best_cut, calibrated, fit, grow, rule_verdicts
 
 DATA = "/root/testdata/sf0.01"
 
@@ -59,3 +59,23 @@ def test_odd_rows(spark):
     unlabelled = fit(docs, labels.limit(0))
     assert not any(r.unusual for r in rule_verdicts(docs, unlabelled).collect())
     assert rule_verdicts(docs.limit(0), unlabelled).count() == 0
+
+
+def test_every_labelled_document_counts(spark):
+    """Leaves and the threshold come from all of more documents than the trees draw, of which the last ones differ."""
+    rows = [(i, " ".join(f"w{i % 7}{k}" for k in range(20 + i % 5)), 1) for i in range(300)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string, quality int"), spark.createDataFrame([(i, int(i % 10 > 0)) for i in range(300)], "doc_id long, quality int")
+    forest = fit(docs, labels, trees=4, sample=8)
+    used = [i for i in range(300) if zlib.crc32(str(i).encode()) % 3 != 1]
+    by_hand = {r.doc_id: r.anomaly for r in rule_verdicts(docs, forest).collect()}
+    x, good = np.array([by_hand[i] for i in used]), np.array([i % 10 > 0 for i in used])
+
+    class Given:
+        threshold = np.inf
+
+        def anomaly(self, _):
+            return x
+
+    assert len(used) > 4 * 8 and abs(calibrated(Given(), x, good).threshold - forest.threshold) < 1e-12
+    pairs = [(float(v), int(g)) for v, g in zip(x, good)]
+    assert best_cut(spark.createDataFrame(pairs, "score double, label int").repartition(3), int(good.sum()), int((~good).sum())) == forest.threshold
