@@ -72,12 +72,22 @@ def source_records(streams: dict[str, DataFrame]) -> DataFrame:
 
 
 def consolidate(records: DataFrame) -> DataFrame:
-    """One publication per master key, numbered by the key: first non-blank texts by rank, first year, source counts."""
+    """One publication per master key, numbered by the key: first non-blank texts by rank, first year, source counts.
+
+    Groups meet as digests of their keys. Sources and years are counted beside the texts, since counting distinct
+    sources takes two shuffles, and numbers come from digests and heads of keys, so whole texts are shuffled once.
+    """
     texts = [first_nonblank(c, "rank").alias(c) for c in ("doi", "title", "title_norm", "journal", "abstract", "keywords")]
-    counts = [F.count_if(F.col("source") == s).alias(s) for s in ("RI", "SCOPUS", "WOS")]
-    masters = records.groupBy("master_key").agg(*texts, F.min("year").alias("year"), F.countDistinct("source").alias("source_count"), *counts)
-    flagged = masters.withColumns({f"found_in_{s}": F.col(s) > 0 for s in ("RI", "SCOPUS", "WOS")})
-    return number_rows(flagged, "publication_id", "master_key")
+    keyed = records.withColumn("__digest", digest("master_key"))
+    by_source = keyed.groupBy("__digest", head("master_key").alias("head"), "source").agg(F.count("*").alias("n"), F.min("year").alias("year"))
+    narrow = materialize(by_source, "sources")
+    counts = [F.coalesce(F.sum(F.when(F.col("source") == s, F.col("n"))), F.lit(0)).alias(s) for s in ("RI", "SCOPUS", "WOS")]
+    counted = narrow.groupBy("__digest").agg(F.min("year").alias("year"), F.count("source").alias("source_count"), *counts)
+    numbers = number_texts(records, "master_key", "publication_id", narrow.select(F.col("__digest").alias("digest"), "head").distinct())
+    masters = keyed.groupBy("__digest").agg(F.first("master_key").alias("master_key"), *texts)
+    for more in (counted.withColumnRenamed("__digest", "digest"), numbers):
+        masters = masters.join(more, F.col("__digest").eqNullSafe(F.col("digest")), "left").drop("digest")
+    return masters.drop("__digest").withColumns({f"found_in_{s}": F.col(s) > 0 for s in ("RI", "SCOPUS", "WOS")})
 
 
 def authorships(records: DataFrame, authors: str, ids: str, key: str = "master_key") -> DataFrame:

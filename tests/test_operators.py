@@ -161,3 +161,15 @@ def test_numbers_of_texts_that_begin_alike(spark):
     for some in (texts, texts[-1:]):
         rows = number_texts(df.where(F.col("t").isin(some)), "t", "n").join(df.select("t", F.unhex(F.sha2("t", 256)).alias("digest")).distinct(), "digest").collect()
         assert [r.t for r in sorted(rows, key=lambda r: r.n)] == sorted(some, key=str.encode) and sorted(r.n for r in rows) == list(range(1, len(some) + 1))
+
+
+def test_publications_shuffle_texts_once(spark):
+    """Unknown sources count, keys that begin alike keep their order, and numbering writes no whole text."""
+    rows = [(i, t, a) for i, (t, a) in enumerate([("x " * 200 + "b", "-"), ("x " * 200 + "a", "one"), ("x " * 200 + "b", "two"), ("", None)])]
+    one = spark.createDataFrame(rows, "seq long, title string, abstract string")
+    got = ln.consolidate(ln.source_records({"SCOPUS": one, "NEW": one, "RI": one.where("seq = 1")}))
+    want = [("titleyear:" + "X " * 200 + "A|", "one", 3, 1, 1), ("titleyear:" + "X " * 200 + "B|", "two", 2, 0, 2), ("titleyear:|", "", 2, 0, 1)]
+    assert [tuple(r) for r in got.orderBy("publication_id").select("master_key", "abstract", "source_count", "RI", "SCOPUS").collect()] == want
+    leaves = got._jdf.queryExecution().optimizedPlan().collectLeaves()
+    written = [leaves.apply(k).output().mkString(",") for k in range(leaves.size()) if leaves.apply(k).getClass().getSimpleName() == "LogicalRelation"]
+    assert written and not any("abstract" in columns for columns in written)
