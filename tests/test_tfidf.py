@@ -53,3 +53,23 @@ def test_common_terms_by_sketch_and_by_counting_all(spark):
         got = [tuple(r) for r in common_terms(counts, most, tracked).orderBy(F.desc("total"), "term").collect()]
         assert got == want
     assert common_terms(counts.limit(0), 5).count() == 0
+
+
+def test_no_task_gathers_the_words(spark):
+    """Of 120,000 words, what a single task reads at the end has the size of the vocabulary; sketches of all were merged by one."""
+    texts = spark.range(0, 400, 1, 4).selectExpr("id AS k", "concat('common often ', array_join(transform(sequence(1, 300), x -> concat('w', id, '_', x)), ' ')) AS t")
+    adaptive, sc = spark.conf.get("spark.sql.adaptive.enabled"), spark.sparkContext
+
+    def stages():
+        found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return {s.stageId(): s for s in map(found.apply, range(found.size()))}
+
+    seen = set(stages())
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = Counter(r.term for r in tfidf(texts, "k", "t", 30).collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    alone = [s.shuffleReadBytes() for k, s in stages().items() if k not in seen and s.numTasks() == 1]
+    assert len(got) == 30 and got["common"] == got["often"] == 400 and max(alone) < 50_000
