@@ -2,6 +2,7 @@
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 
 from rillstone.operators import semantic as sm
 from rillstone.operators import vectors as vc
@@ -84,3 +85,49 @@ def test_analysis_keeps_texts_without_terms(spark):
     got = {r.k: r for r in labelled.collect()}
     assert len(got) == 5 and got[1].cluster_label == got[2].cluster_label and got[3].cluster_label == got[None].cluster_label != got[1].cluster_label
     assert labelled.columns == ["k", "t", "pca_1", "pca_2", "cluster_label"] and 0 < sum(info["explained_variance"]) <= 1
+
+
+def test_passes_read_slices_and_not_every_vector(spark):
+    """The vectors are read a few times (first centres, slices, labels), however many rounds there are."""
+    sc = spark.sparkContext
+
+    def stages():
+        found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return {s.stageId(): s for s in map(found.apply, range(found.size()))}
+
+    df = spark.read.parquet(f"{DATA}/embeddings.parquet")
+    n, seen = df.count(), set(stages())
+    assert sum(r["count"] for r in vc.with_clusters(df, "embedding", 8).groupBy("cluster_label").count().collect()) == n
+    sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    assert sum(s.inputRecords() for k, s in stages().items() if k not in seen) < 8 * n
+
+
+def test_sums_over_slices_of_all_kinds(spark):
+    """Rows of unequal lengths, repeated places, values of four and eight bytes, empty rows."""
+    pick, rows = np.random.default_rng(9), []
+    for k in range(700):
+        i = pick.integers(0, 40, k % 5).tolist()
+        rows.append((i, [float(x) if k % 2 else float(np.float32(x)) for x in pick.standard_normal(len(i))]))
+    rows += [([0, 1, 2], [1.0, 2.5, 1e300])] * 3 + [([], [])] * 300
+
+    def add(total, used, m):
+        total[used, 0] += m.sum(0)
+
+    for some in (rows, [r for r in rows if len(r[0]) == 3], rows[-300:]):
+        packed = vc._packed(spark.createDataFrame(some, "i array<int>, w array<double>"))
+        got = vc._summed(packed, add, (40, 1))
+        want = np.zeros((40, 1))
+        for i, w in some:
+            np.add.at(want[:, 0], i, w)
+        assert np.allclose(got, want, rtol=1e-12) and packed.selectExpr("sum(n)").first()[0] == len(some)
+
+
+def test_slices_keep_their_rows():
+    for rows in ([[(0, 1.0)], [(1, 2.0), (0, 3.0), (1, 4.0)]], [[(3, 1.0), (5, 0.1)], [(3, 2.0), (5, 7.0)]], [[(5, 1.0), (3, 2.0)]], [[], [(9, 1e300)], []]):
+        batch = pa.RecordBatch.from_arrays([pa.array([[i for i, _ in r] for r in rows], pa.list_(pa.int32())), pa.array([[w for _, w in r] for r in rows], pa.list_(pa.float64()))], ["i", "w"])
+        want = np.zeros((len(rows), 10))
+        for k, r in enumerate(rows):
+            for i, w in r:
+                want[k, i] += w
+        ((used, got),) = vc._unpacked(next(vc._pack([batch])))
+        assert np.array_equal(want[:, used], got) and want.sum() == got.sum()
